@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, language_id, packing, pii, substring_dedup
+from . import decontaminate, language_id, near_dedup, packing, pii, substring_dedup
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
@@ -27,10 +27,14 @@ def op6_language(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark, sf_dir):
+    return near_dedup.components(table(spark, sf_dir, "documents"))
+
+
 def op10_substrings(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_pii, op4_decontaminate, op5_pack, op6_language, op10_substrings)}
+QUERIES = {f.__name__: f for f in (op3_pii, op4_decontaminate, op5_pack, op6_language, op9_near_dedup, op10_substrings)}
 
-ORACLE_SQL = {"op4_decontaminate": decontaminate.ORACLE, "op10_substrings": substring_dedup.ORACLE}
+ORACLE_SQL = {"op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE}
