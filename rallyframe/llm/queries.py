@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, language_id, near_dedup, packing, pii, substring_dedup
+from . import decontaminate, language_id, near_dedup, neighbours, packing, pii, substring_dedup
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_neighbours(spark, sf_dir):
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pii(spark, sf_dir):
     return pii.find_spans(table(spark, sf_dir, "documents"), ["doc_id"])
 
@@ -35,6 +39,6 @@ def op10_substrings(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_pii, op4_decontaminate, op5_pack, op6_language, op9_near_dedup, op10_substrings)}
+QUERIES = {f.__name__: f for f in (op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op9_near_dedup, op10_substrings)}
 
 ORACLE_SQL = {"op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE}
