@@ -121,11 +121,14 @@ def _document_frequencies(learnable: DataFrame) -> tuple[np.ndarray, int]:
 
 def _sample(learnable: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """Label, slots and TF of the documents with the smallest hashes of each language, in a fixed order."""
+    languages = learnable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)  # LANGUAGES rows at most
     order = F.xxhash64(F.col("doc_id").cast("string"))
+    rows = learnable.select("doc_id", "lang", order.alias("h")).join(F.broadcast(languages), "lang")
+    # of uniform hashes, those of a sample lie almost surely below four times its share: few rows reach the ranking
+    share = (F.col("h") / float(1 << 63) + 1) / 2
+    near = rows.where((F.col("count") <= 8 * SAMPLE_PER_LANGUAGE) | (share * F.col("count") <= 4 * SAMPLE_PER_LANGUAGE))
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = learnable.select("doc_id", "lang", order.alias("h")).withColumn("r", F.row_number().over(first)).where(F.col("r") <= SAMPLE_PER_LANGUAGE)
-    languages = [r.lang for r in chosen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    chosen = chosen.where(F.col("lang").isin(languages)).select(F.col("doc_id").alias("chosen_id")).distinct()
+    chosen = near.withColumn("r", F.row_number().over(first)).where(F.col("r") <= SAMPLE_PER_LANGUAGE).select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")).distinct()
 
     def features(batches):
         for batch in batches:
@@ -139,7 +142,7 @@ def _sample(learnable: DataFrame) -> list[tuple[str, np.ndarray, np.ndarray]]:
 
     id_type = learnable.schema["doc_id"].dataType.simpleString()
     rows = (
-        learnable.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id"), "left_semi")  # SAMPLE_PER_LANGUAGE * LANGUAGES ids at most
+        learnable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("chosen_id")) & (F.col("lang") == F.col("chosen_lang")), "left_semi")  # SAMPLE_PER_LANGUAGE * LANGUAGES ids at most
         .select("doc_id", "lang", "text")
         .mapInArrow(features, f"doc_id {id_type}, lang string, slots binary, tf binary")
         .collect()
