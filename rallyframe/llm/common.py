@@ -30,7 +30,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read it back: the lineage is cut, and lost executors lose no rows."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # the shuffle files behind a written table serve nothing else
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
