@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import decontaminate, language_id, near_dedup, neighbours, packing, pii, substring_dedup
+from . import chat, decontaminate, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, url_filter
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_urls(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op2_neighbours(spark, sf_dir):
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -31,6 +35,14 @@ def op6_language(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op7_chat(spark, sf_dir):
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op8_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_near_dedup(spark, sf_dir):
     return near_dedup.components(table(spark, sf_dir, "documents"))
 
@@ -39,6 +51,6 @@ def op10_substrings(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op9_near_dedup, op10_substrings)}
+QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings)}
 
-ORACLE_SQL = {"op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE}
+ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE}
