@@ -17,7 +17,7 @@ def pages(spec: Column, total: Column) -> Column:
         a, b = F.get(part(x), 0).cast("int"), F.get(part(x), F.size(part(x)) - 1).cast("int")
         return F.when(a <= b, F.sequence(a, F.greatest(a, b))).otherwise(F.array().cast("array<int>"))
 
-    listed = F.flatten(F.transform(F.filter(F.transform(F.split(spec, ","), F.trim), lambda x: x != ""), numbers))
+    listed = F.flatten(F.transform(F.filter(F.transform(F.split(spec, ","), lambda x: F.trim(x)), lambda x: x != ""), numbers))
     inside = F.transform(F.filter(listed, lambda p: (p >= 1) & (p <= total)), lambda p: p - 1)
     everything = F.when(total > 0, F.sequence(F.lit(0), F.greatest(total - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
     return F.when(F.trim(F.coalesce(spec, F.lit(""))) == "", everything).otherwise(inside)
