@@ -8,6 +8,7 @@ from .labels import (
     format_date,
     format_range,
     game_outcome,
+    link,
     rank_class,
     rank_label,
     result_label,

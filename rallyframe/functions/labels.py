@@ -89,3 +89,9 @@ def display_unit(units: Column, unit: Column) -> Column:
 
 def type_icon(kind: Column) -> Column:
     return F.when(kind == REGULATION, "📋").when(kind == RESULT, "🏆").otherwise("📄")
+
+
+def link(base: str, **parameters: Column) -> Column:
+    """A url with encoded parameters, in the order given; null parameters are left out."""
+    pairs = [F.concat(F.lit(f"{k}="), encode_component(v)) for k, v in parameters.items()]
+    return F.concat(F.lit(base + "?"), F.concat_ws("&", *(F.when(v.isNotNull(), p) for v, p in zip(parameters.values(), pairs))))

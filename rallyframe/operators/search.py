@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import base_group, game_outcome, nz, result_label, split_members, utrim
+from ..functions import base_group, game_outcome, nz, result_label, split_members
 
 SHOWN, PAGE = 60, 150
 COLLATION = "zh_Hant"
@@ -135,5 +135,18 @@ def group_pages(rows: DataFrame, keys: list[str], order: list[str], page: int, s
     return rows.withColumn("_at", at).where((F.col("_at") > (page - 1) * size) & (F.col("_at") <= page * size)).drop("_at")
 
 
-def trimmed(c):
-    return utrim(c)
+
+
+def panels(docs: DataFrame) -> DataFrame:
+    """What the page of a tournament shows beside its lists."""
+    none = F.lit(False)
+    standing = lambda test: F.coalesce(F.exists("standings", test), none)
+    return docs.select(
+        "openid",
+        ((F.col("category") == "排名賽") & (nz(F.col("promotion")) != "")).eqNullSafe(True).alias("promotion_panel"),
+        standing(lambda s: F.coalesce(s["promoted"], none)).alias("any_promoted"),
+        standing(lambda s: s["source"] == "pdf").alias("from_official"),
+        (F.coalesce(F.size("matches"), F.lit(0)) == 0).alias("no_matches"),
+        ((F.col("status") == "registering") & ~nz(F.col("registerEnd")).isin("", "0000-00-00")).alias("deadline"),
+        ((F.col("status") == "registering") & F.coalesce("isSystem", none)).alias("sign_up"),
+    )

@@ -96,3 +96,33 @@ def nested(standings: DataFrame) -> DataFrame:
     fields = [f.split(":")[0] for f in STANDING[7:-1].replace("array<string>", "array").split(",")]
     row = F.struct("group", "rank", "standing_pos", F.struct(*fields).alias("s"))
     return standings.groupBy("openid").agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["s"]).alias("standings"))
+
+
+def imported_documents(docs: DataFrame, entries: DataFrame) -> DataFrame:
+    """``docs`` after an import: category and promotion set (also to null), missing groups appended, standings replaced group by group.
+
+    Documents that are not imported stay as they are; applying it twice changes nothing.
+    """
+    heads = entries.groupBy("openid").agg(F.min_by(F.struct("category", "promotion"), F.struct("event_pos", "entry_pos")).alias("_head"))
+    hit = docs.join(heads.select("openid"), "openid", "left_semi")
+    rows = nested(apply_import(flatten.standings(hit), entries.join(docs.select("openid"), "openid", "left_semi"))).withColumnRenamed("standings", "_standings")
+    new = missing_groups(flatten.groups(hit), entries)
+    group = F.struct("id", "name", F.lit(None).cast("string").alias("drawUrl"), "tags")
+    new = new.groupBy("openid").agg(F.transform(F.array_sort(F.collect_list(F.struct("event_pos", "name", group.alias("g")))), lambda x: x["g"]).alias("_groups"))
+    out = docs.join(heads, "openid", "left").join(rows, "openid", "left").join(new, "openid", "left")
+    there = F.col("_head").isNotNull()
+    changed = {
+        "category": F.when(there, F.col("_head.category")).otherwise(F.col("category")),
+        "promotion": F.when(there, F.col("_head.promotion")).otherwise(F.col("promotion")),
+        "standings": F.coalesce("_standings", "standings"),
+        "groups": F.when(F.col("_groups").isNull(), F.col("groups")).otherwise(F.concat(F.coalesce("groups", F.array().cast(docs.schema["groups"].dataType)), F.col("_groups").cast(docs.schema["groups"].dataType))),
+    }
+    return out.select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+
+
+def patched(docs: DataFrame, categories: dict[str, str]) -> DataFrame:
+    """One-off categories of single documents; the last writer wins."""
+    c = F.col("category")
+    for openid, category in categories.items():
+        c = F.when(F.col("openid") == openid, category).otherwise(c)
+    return docs.withColumn("category", c)

@@ -79,6 +79,19 @@ def test_import_twice_is_as_once(spark, tmp_path):
     assert standings.import_report(e.where("openid = '0'")).first().promoted == 2
 
 
+def test_imported_documents(spark, tmp_path):
+    d = documents(spark, tmp_path, {"category": "錦標賽", "standings": [{"group": "h", "rank": 1, "unit": "stays", "members": [], "source": "pdf"}], "groups": [{"id": "1", "name": "h"}]}, {"category": "x"})
+    e = spark.createDataFrame([("0", "排名賽", None, 0, "乙組男子單打", 0, 3, ["u"], ["a"])], ENTRY)
+    once = standings.imported_documents(d, e)
+    rows = {r.openid: r for r in once.collect()}
+    assert rows["1"].category == "x" and rows["0"].category == "排名賽" and [g.name for g in rows["0"].groups] == ["h", "乙組男子單打"] and rows["0"].groups[1].tags.event == "男單"
+    assert [(s.group, s.unit, s.promoted) for s in rows["0"].standings] == [("h", "stays", False), ("乙組男子單打", "u", True)]
+    assert sorted(once.collect(), key=str) == sorted(standings.imported_documents(once, e).collect(), key=str)
+    assert {r.openid: r.category for r in standings.patched(once, {"1": "團體賽"}).collect()} == {"0": "排名賽", "1": "團體賽"}
+    panels = {r.openid: r for r in search.panels(once).collect()}
+    assert panels["0"].any_promoted and panels["0"].from_official and panels["0"].no_matches and not panels["0"].promotion_panel and not panels["1"].any_promoted
+
+
 def test_positional_units(spark, tmp_path):
     s = lambda **k: {"group": "g", "rank": 1, "unit": "row", "members": [], "source": "pdf", **k}
     d = documents(spark, tmp_path, {"standings": [s(members=["a", "b"], memberUnits=["u"]), s(members=["c"], memberUnits=[""]), s(unit="team")]})
