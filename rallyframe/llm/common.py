@@ -102,11 +102,11 @@ def bit_filter(hashes: DataFrame, name: str, bits: int = 26) -> bytes:
     words = (
         hashes.groupBy(F.shiftright(slot, 6).cast("int").alias("i"))
         .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({name} & 63 as int))")).alias("w"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << max(0, bits - 6), dtype=np.uint64)
     if len(words):
-        out[words["i"].to_numpy()] = words["w"].to_numpy().astype(np.int64).view(np.uint64)
+        out[words["i"].to_numpy()] = words["w"].to_numpy().view(np.uint64)
     return out.tobytes()
 
 

@@ -130,7 +130,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
     counted = materialise(_minimisers(source.select("text")).where("n > 1"), "minimisers")
     total = counted.agg(F.sum("n")).first()[0] or 0
-    hot = counted.where(F.col("n") > max(HOT_LEAST, total // HOT)).select("m").toPandas()["m"].to_numpy().astype(np.int64)  # HOT at most
+    hot = counted.where(F.col("n") > max(HOT_LEAST, total // HOT)).select("m").toArrow()["m"].to_numpy()  # HOT at most
     shared = spark.sparkContext.broadcast((bit_filter(counted, "m", FILTER_BITS), np.sort(hot.view(np.uint64))))
 
     schema = "m long, doc_id long, h long, start int, size int, words binary"
