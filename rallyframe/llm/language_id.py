@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, map_texts, without
+from .common import column, map_texts
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -109,9 +109,9 @@ def _document_frequencies(learnable: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), type=pa.int64()), pa.array(np.append(seen[at], n), type=pa.int64())], names=["slot", "n"])
 
-    rows = learnable.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    rows = learnable.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     frequency, documents = np.zeros(1 << BITS), 0
-    for slot, n in zip(rows["slot"], rows["n"]):
+    for slot, n in zip(rows["slot"].to_pylist(), rows["n"].to_pylist()):
         if slot < 0:
             documents = int(n)
         else:
@@ -216,14 +216,14 @@ def train(docs: DataFrame) -> Model:
     return Model(languages, idf[:, None] * w, bias, max(t, 0.05))
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``keep`` columns of ``docs`` with ``lang_pred`` and ``score`` of whole texts.
 
     Text that is null or has no letter: ``und``, 0.  Repeated and equal texts get equal answers; a tie goes to the language
     first in alphabetical order.  Columns named like a result are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of a float for each of LANGUAGES at most
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())]
 
     def make():
         own = shared.value
@@ -234,7 +234,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
         return run
 
-    return map_texts(docs, make, fields, [c for c in keep if c.lower() not in ("lang_pred", "score")])
+    return map_texts(docs, make, fields, [c for c in keep if c.lower() not in names])
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -245,5 +245,5 @@ def identify(docs: DataFrame) -> DataFrame:
 
 def accept(docs: DataFrame, least: float = LEAST_SCORE) -> DataFrame:
     """``docs`` without documents that have no letter or whose language is doubtful; columns as they were."""
-    found = predict(docs, train(docs), without(docs, ["lang_pred", "score"]))
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select(*(column(found, c) for c in without(docs, ["lang_pred", "score"])))
+    found = predict(docs, train(docs), docs.columns, ("__lang_pred", "__score"))
+    return found.where((F.col("__lang_pred") != UNKNOWN) & (F.col("__score") >= least)).select(*(column(found, c) for c in docs.columns))
