@@ -24,7 +24,7 @@ from .components import connected, stars
 
 SHINGLE, SIMILAR = 2, 80
 TREES, DEPTH, SKETCH = 16, 8, 96
-LEAST, NEAR, ESTIMATE = 2, 16, 0.64
+LEAST, NEAR, ESTIMATE = 2, 40, 0.64
 #: Classes, and shingles, that are compared in one block.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 HUBS = 32
