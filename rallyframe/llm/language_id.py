@@ -28,7 +28,7 @@ EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.5, 1.0, 2e-4, 1e-4
 CALIBRATE = 5
 UNKNOWN = "und"
 #: The pipeline rejects documents below this calibrated probability, and those without letters.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 _LETTER = re.compile(r"[^\W\d_]")
 #: Code points hashed at once.
