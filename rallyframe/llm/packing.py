@@ -8,6 +8,7 @@ pass 1, so no sequence but the last has padding.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -23,50 +24,89 @@ END_ID = 2
 BROADCAST_PARTITIONS = 500_000
 #: Partitions summed in one group of the prefix sum.
 GROUP = 1024
-#: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Distinct pieces that a task remembers before it starts anew.
+REMEMBERED = 600_000
+
+#: For lower-cased texts of these characters alone the tokenizer's splitting is this pattern: elisions, runs of letters,
+#: single digits, runs of others.  Any other text goes to the tokenizer whole.
+_PLAIN = re.compile("[^\x00-\xff\u2010-\u2027\u2030-\u205e]")
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^ \t-\r\x85\xa0a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 
 
 class Encoder:
-    """Token ids of texts by a tokenizer that drops white space: words are encoded once and remembered."""
+    """Token ids of texts; the pieces that the tokenizer splits a text into are encoded once, many together, and remembered."""
 
     def __init__(self, path: str, dtype):
+        import json
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer, self.of_pieces = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = self.of_pieces.encode_special_tokens = True
+        # pieces are normal already, and parted by spaces
+        self.of_pieces.normalizer = None
+        self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.dtype = dtype
+        with open(path, encoding="utf-8") as f:
+            described = json.load(f)
+        vocabulary = described["model"]["vocab"]
+        suffix = described["model"].get("end_of_word_suffix")
+        splits = json.dumps(described.get("pre_tokenizer"))
+        #: The short way holds for this kind of tokenizer: its own splitting pattern, lower case, a mark at the end of a piece.
+        self.known_kind = suffix == "</w>" and "'s|'t|'re|'ve|'m|'ll|'d|[\\\\p{L}]+|[\\\\p{N}]|[^\\\\s\\\\p{L}\\\\p{N}]+" in splits and "Lowercase" in json.dumps(described.get("normalizer"))
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place = _Places()
         self.ids = np.zeros(0, self.dtype)
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.place) + len(words) > REMEMBERED:
-            self.forget()
-        got = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in got], dtype=np.int64)
-        first = len(self.ids) + np.concatenate(([0], np.cumsum(size)[:-1])) if len(size) else size
-        self.place.update(zip(words, range(len(self.place), len(self.place) + len(words))))
-        self.ids = np.concatenate([self.ids, np.array([i for x in got for i in x], dtype=self.dtype)])
-        self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
+
+    def _learn(self) -> None:
+        """Ids of the pieces that have a place but no ids yet."""
+        pieces, self.place.new = self.place.new, []
+        parts = [pieces[a : a + 200] for a in range(0, len(pieces), 200)]
+        found, sizes = [], []
+        for part, got in zip(parts, self.of_pieces.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)):
+            ids = np.array(got.ids, dtype=self.dtype)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                each = [self._whole(p) for p in part]
+                ids, size = np.concatenate(each), np.array([len(x) for x in each])
+            else:
+                size = np.diff(ends, prepend=0)
+            found.append(ids)
+            sizes.append(size)
+        if sizes:
+            size = np.concatenate(sizes)
+            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(size) - size])
+            self.ids, self.size = np.concatenate([self.ids, *found]), np.concatenate([self.size, size])
 
     def encode(self, texts: list[str], end: int | None) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        if new := list(dict.fromkeys(w for words in split for w in words if w not in self.place)):
-            if len(self.place) + len(new) > REMEMBERED:
-                self.forget()
-                new = list(dict.fromkeys(w for words in split for w in words))
-            self._learn(new)
-        get, out = self.place.__getitem__, []
         tail = np.array([] if end is None else [end], dtype=self.dtype)
-        for words in split:
-            at = np.fromiter(map(get, words), dtype=np.int64, count=len(words))
+        if len(self.place) > REMEMBERED:
+            self.forget()
+        placed: list = []
+        get = self.place.__getitem__
+        for text in texts:
+            if self.known_kind and not _PLAIN.search(text):
+                pieces = _PIECES.findall(text.lower())
+                placed.append(np.fromiter(map(get, pieces), dtype=np.int64, count=len(pieces)))
+            else:
+                placed.append(None)
+        self._learn()
+        out = []
+        for text, at in zip(texts, placed):
+            if at is None:
+                out.append(np.concatenate([self._whole(text), tail]))
+                continue
             n = self.size[at]
             ends = np.cumsum(n)
             index = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[at] - (ends - n), n)
@@ -74,6 +114,19 @@ class Encoder:
         return out
 
 
+class _Places(dict):
+    """Gives a piece that is asked for the first time the next place."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        at = self[piece] = len(self)
+        self.new.append(piece)
+        return at
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end: int = END_ID) -> DataFrame:
     """Table of doc_id, part, start_in_part, n and ids (little-endian bytes), written to the checkpoint folder.
 
