@@ -8,7 +8,8 @@
    Pairs whose sketches are far apart are left out (``ESTIMATE`` is four standard errors below the threshold).
 3. Pairs give candidate groups.  The shingle sets of their classes are fetched once, and all pairs of a group are compared
    exactly.  A group beyond ``BLOCK`` classes is cut into blocks, which are then compared with the group's ``HUBS`` best
-   linked classes, and with each other along the candidate pairs that are not connected yet.
+   linked classes.  That connects most classes; each one that is still apart from the group's largest component is then
+   compared with all classes of the group.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ LEAST, NEAR, ESTIMATE = 2, 40, 0.64
 #: Classes, and shingles, that are compared in one block.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 HUBS = 32
+#: Classes, and shingles, of one block of classes that are compared with a whole group; blocks of a group in one round.
+LOOSE, LOOSE_SHINGLES, LOOSE_BLOCKS = 512, 1_000_000, 8
 FILTER_BITS = 26
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -102,7 +105,9 @@ def _trees(batches):
         sigs = np.frombuffer(b"".join(sig.to_pylist()), np.uint8).reshape(len(batch), -1)
         sketch = pa.array([x.tobytes() for x in sigs[:, 2 * TREES * DEPTH :]], type=pa.binary())
         for tree in range(TREES):
-            label = np.ascontiguousarray(sigs[:, 2 * DEPTH * tree : 2 * DEPTH * (tree + 1)])
+            # a part of the sketch goes on where the labels end, another one for each tree
+            more = 2 * DEPTH * TREES + SKETCH // TREES * tree
+            label = np.concatenate([sigs[:, 2 * DEPTH * tree : 2 * DEPTH * (tree + 1)], sigs[:, more : more + SKETCH // TREES]], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(batch), tree, np.int32)), pa.array([x.tobytes() for x in label], type=pa.binary()), rep, n, sketch], names=["tree", "label", "rep", "n", "sketch"])
 
 
@@ -111,7 +116,7 @@ _PAIR_NAMES = ["a", "b", "tree", "label", "rep", "n", "sketch"]
 
 
 def _scan(threshold: int, edges: bool):
-    """Pairs of neighbours in sorted rows; with ``edges`` also the first and last ``NEAR`` rows of the partition."""
+    """Star edges of the pairs of neighbours in sorted rows; with ``edges`` also the first and last ``NEAR`` rows of the partition."""
 
     def near(rows):
         tree, rep, n = (rows.column(i).to_numpy() for i in (0, 2, 3))
@@ -128,8 +133,10 @@ def _scan(threshold: int, edges: bool):
                 yield np.minimum(rep[j], rep[j + lag]), np.maximum(rep[j], rep[j + lag])
 
     def told(pairs):
+        # only what they connect matters: so many rows as classes, not pairs
         a, b = (np.concatenate(x) for x in zip(*pairs))
-        got = np.unique(np.stack([a, b], 1), axis=0)
+        got = np.unique(np.stack([a, b], 1), axis=0).tolist()
+        got = np.array([(b, a) for a, b in stars(got)], dtype=np.int64).reshape(-1, 2)
         null = pa.nulls(len(got))
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1])), null.cast(pa.int32()), null.cast(pa.binary()), null.cast(pa.int64()), null.cast(pa.int64()), null.cast(pa.binary())], names=_PAIR_NAMES)
 
@@ -156,7 +163,7 @@ def _scan(threshold: int, edges: bool):
 
 
 def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs a < b of class representatives."""
+    """Distinct pairs a < b of class representatives that connect the candidate groups."""
     trees = classes.select("rep", "n", "signature").mapInArrow(_trees, "tree int, label binary, rep long, n long, sketch binary")
     parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["tree", "label", "rep"]
@@ -216,8 +223,9 @@ def _groups(batches, key: int):
         yield pa.Table.from_batches(held)
 
 
-def _links(sets: list[np.ndarray], threshold: int) -> np.ndarray:
-    """Matrix of links between all pairs of ``sets``: intersections by products over the shingles that two sets have."""
+def _links(sets: list[np.ndarray], threshold: int, first: int | None = None) -> np.ndarray:
+    """Matrix of links of the ``first`` sets (all by default) to ``sets``: intersections by products over the shingles that two sets have."""
+    first = len(sets) if first is None else first
     n = np.array([len(s) for s in sets], dtype=np.int64)
     value = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), n)
@@ -228,14 +236,14 @@ def _links(sets: list[np.ndarray], threshold: int) -> np.ndarray:
     shared = np.bincount(place)[place] > 1
     owner, place = owner[shared], place[shared]
     _, place = np.unique(place, return_inverse=True)
-    both = np.zeros((len(sets), len(sets)), dtype=np.float64)
+    both = np.zeros((first, len(sets)), dtype=np.float64)
     width = 2048
     for a in range(0, int(place.max()) + 1 if len(place) else 0, width):
         low, high = np.searchsorted(place, [a, a + width])
         part = np.zeros((len(sets), width), dtype=np.float32)
         part[owner[low:high], place[low:high] - a] = 1
-        both += part @ part.T
-    link = 100 * both >= threshold * (n[:, None] + n[None, :] - both)
+        both += part[:first] @ part.T
+    link = 100 * both >= threshold * (n[:first, None] + n[None, :] - both)
     np.fill_diagonal(link, False)
     return link
 
@@ -258,20 +266,60 @@ def _compare(threshold: int):
     return run
 
 
-def _pairs_confirmed(threshold: int):
+def _compare_loose(threshold: int):
+    """Star edges between the loose nodes and the others of each (comp, loose_block, block)."""
+
     def run(batches):
-        for batch in batches:
-            kept = []
-            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                if 100 * both >= threshold * (len(x) + len(y) - both):
-                    kept.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept, type=pa.int64())), batch.column(1).take(pa.array(kept, type=pa.int64()))], names=["a", "b"])
+        for rows in _groups(batches, 3):
+            rows = rows.combine_chunks()
+            nodes, loose = rows["node"].to_numpy(), rows["loose"].to_numpy()
+            own, others = np.flatnonzero(loose), np.flatnonzero(~loose)
+            if not len(own) or not len(others):
+                continue
+            words = rows["words"].to_pylist()
+            link = _links([np.frombuffer(words[i], np.uint64) for i in (*own.tolist(), *others.tolist())], threshold, len(own))
+            i, j = np.nonzero(link[:, len(own) :])
+            found = stars(zip(nodes[own][i].tolist(), nodes[others][j].tolist()))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], type=pa.int64()), pa.array([x for _, x in found], type=pa.int64())], names=["a", "b"])
 
     return run
 
 
+def _loose_connected(large: DataFrame, edges: DataFrame, threshold: int, parts: int) -> DataFrame:
+    """``edges`` (node, smallest of its component) after every class outside its group's largest component met all of its group.
+
+    Pairs inside that component need no comparison; any other pair has a loose class.  Loose classes are taken in rounds of
+    ``LOOSE_BLOCKS`` blocks a group, so that one round writes a bounded multiple of the sets; those connected meanwhile are skipped.
+    """
+
+    def rooted(edges: DataFrame) -> DataFrame:
+        return large.join(edges.toDF("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    # one row for each group beyond a block
+    sizes = rooted(edges).groupBy("comp", "root").agg(F.count("*").alias("c"))
+    main = materialise(sizes.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("main")), "main")
+    apart = rooted(edges).join(F.broadcast(main), "comp").where("root <> main").select("comp", "node", (F.length("words") / 8).alias("n"))
+    apart = materialise(apart, "apart")
+    counts = apart.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / LOOSE), F.ceil(F.sum("n") / LOOSE_SHINGLES)).alias("loose_blocks"))
+    counts = materialise(counts, "loose_blocks")
+    apart = apart.join(F.broadcast(counts), "comp").select("comp", "node", F.pmod(F.xxhash64("node", F.lit(1)), "loose_blocks").alias("loose_block"))
+    most = counts.agg(F.max("loose_blocks")).first()[0] or 0
+    for begin in range(0, most, LOOSE_BLOCKS):
+        now = rooted(edges)
+        where = main.join(edges.toDF("main", "now"), "main", "left").select("comp", F.coalesce("now", "main").alias("main"))
+        taken = apart.where(F.col("loose_block").between(begin, begin + LOOSE_BLOCKS - 1))
+        loose = now.join(taken, ["comp", "node"]).join(F.broadcast(where), "comp").where("root <> main")
+        ranged = lambda low, high: F.explode(F.sequence(low, high))
+        loose = loose.select("comp", "loose_block", ranged(F.lit(0).cast("long"), F.col("blocks") - 1).alias("block"), "node", F.lit(True).alias("loose"), "words")
+        loose = materialise(loose, "loose")
+        asked = materialise(loose.select("comp", "loose_block").distinct(), "asked")
+        others = large.join(F.broadcast(asked), "comp").select("comp", "loose_block", "block", "node", F.lit(False).alias("loose"), "words")
+        order = ["comp", "loose_block", "block"]
+        found = loose.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare_loose(threshold), "a long, b long")
+        edges = materialise(connected(edges.union(found)), "edges")
+    return edges
+
+
 def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
     """Confirmed (a, b) that connect the classes of each component."""
     pairs = _candidates(classes, threshold)
@@ -298,13 +346,7 @@ def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
     hub_sets = large.join(hubs, ["comp", "node"]).select("comp", "blocks", "node", "words").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     again = compare(large.select("comp", "block", "node", "words").union(hub_sets.select("comp", "block", "node", "words")))
     edges = materialise(connected(edges.union(again.where("a <> b").select("a", "b"))), "edges")
-    label = edges.toDF("node", "root")
-    where = wanted.where("blocks > 1").join(label, "node", "left").select("node", "block", F.coalesce("root", "node").alias("root"))
-    left, right = (where.toDF(x, f"{x}_block", f"{x}_root") for x in ("a", "b"))
-    open_pairs = pairs.join(left, "a").join(right, "b").where("a_block <> b_block and a_root <> b_root").select("a", "b")
-    own = large.select("node", "words")
-    both = open_pairs.join(own.toDF("a", "x"), "a").join(own.toDF("b", "y"), "b").select("a", "b", "x", "y")
-    return edges.union(both.mapInArrow(_pairs_confirmed(threshold), "a long, b long"))
+    return _loose_connected(large, edges, threshold, parts)
 
 
 def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -> DataFrame:

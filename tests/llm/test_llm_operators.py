@@ -182,6 +182,23 @@ def test_near_dedup_of_large_groups(spark, monkeypatch):
     assert rows_of(near_dedup.components(df), "doc_id", "n_shingles", "component_id", "kept") == brute_components(rows)
 
 
+def test_near_dedup_of_large_groups_without_hubs_and_candidate_pairs(spark, monkeypatch):
+    """Classes of different blocks meet even if neither is a hub and their pair is no candidate."""
+    for name, value in {"BLOCK": 8, "HUBS": 1, "LOOSE": 4, "LOOSE_BLOCKS": 2}.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    # candidates only hold the group together: a chain of pairs in an order that has nothing to do with similarity
+    monkeypatch.setattr(near_dedup, "_candidates", lambda classes, threshold: spark.createDataFrame([(i, i + 1) for i in range(119)], "a long, b long"))
+    rng, rows = random.Random(9), []
+    bases = [prose(300 + k, 90).split() for k in range(20)]
+    for i in range(120):
+        w = list(bases[i * 7 % 20])
+        for _ in range(rng.randrange(3, 8)):
+            w[rng.randrange(len(w))] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(near_dedup.components(df), "doc_id", "n_shingles", "component_id", "kept") == brute_components(rows)
+
+
 def brute_substrings(rows, window=20):
     seen, out = set(), {}
     for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
