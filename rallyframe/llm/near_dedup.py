@@ -5,7 +5,7 @@
 2. Classes are sorted once for each tree by their labels.  Neighbours in that order have the longest common prefixes:
    a class is paired with up to ``NEAR`` that follow it and share ``LEAST`` labels at least.  In a sparse region these are
    all that share so few labels; in a dense one only those with much longer prefixes: the depth adapts to the region.
-   Pairs whose sketches are far apart are left out (``ESTIMATE`` is four standard errors below the threshold).
+   Pairs whose sketches are far apart are left out (``ESTIMATE`` is five standard errors below the threshold).
 3. Pairs give candidate groups.  The shingle sets of their classes are fetched once, and all pairs of a group are compared
    exactly.  A group beyond ``BLOCK`` classes is cut into blocks, which are then compared with the group's ``HUBS`` best
    linked classes.  That connects most classes; each one that is still apart from the group's largest component is then
@@ -25,7 +25,7 @@ from .components import connected, stars
 
 SHINGLE, SIMILAR = 2, 80
 TREES, DEPTH, SKETCH = 16, 8, 96
-LEAST, NEAR, ESTIMATE = 2, 40, 0.64
+LEAST, NEAR, ESTIMATE = 2, 40, 0.58
 #: Classes, and shingles, that are compared in one block.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 HUBS = 32

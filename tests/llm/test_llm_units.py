@@ -195,3 +195,11 @@ def test_slots_are_crc32():
 @pytest.mark.parametrize("text, want", [(None, 0), ("", 0), (" \t\n", 0), ("one", 1), ("One one", 1), ("a b a b", 2)])
 def test_shingles(text, want):
     assert len(near_dedup.shingles(text.encode() if text is not None else None)) == want
+
+
+def test_sketch_bound_seldom_loses_a_pair_at_the_threshold():
+    from math import ceil, comb
+
+    agree, n = 0.8 + 0.2 / 256, near_dedup.SKETCH
+    least = ceil((near_dedup.ESTIMATE * (1 - 1 / 256) + 1 / 256) * n)
+    assert sum(comb(n, k) * agree**k * (1 - agree) ** (n - k) for k in range(least)) < 1e-6
