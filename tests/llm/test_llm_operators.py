@@ -338,3 +338,17 @@ def test_pipeline(spark, docs, tmp_path):
     assert "[EMAIL]" in stages["pii"].where("doc_id = 13").first().text
     key = lambda df: sorted((r.doc_id if r.doc_id is not None else -1, r.start, r.length) for r in df.select("doc_id", "start", "length").where("start = 0").collect())
     assert [k[0] for k in key(corpus_pipeline.run(spark, str(tmp_path)))] == [k[0] for k in key(stages["packing"])]
+
+
+def test_pipeline_stage_compares_five_words(spark):
+    rng, rows = random.Random(12), []
+    for k in range(12):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(100)]
+        rows += [(10 * k, " ".join(base)), (10 * k + 1, " ".join([*base[:50], "new", *base[51:]]))]
+        rows.append((10 * k + 2, " ".join("other" + w if i % 20 == 10 else w for i, w in enumerate(base))))  # 0.82 by two words, 0.59 by five
+    fives = {d: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for d, t in rows if (w := t.split())}
+    alike = lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    want = [d for d in fives if not any(e < d and alike(fives[d], fives[e]) for e in fives)]
+    assert {d % 10 for d in want} == {0, 2}
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert sorted(r.doc_id for r in stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()) == sorted(want)
