@@ -34,9 +34,12 @@ _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff
 
 
 class Encoder:
-    """Token ids of texts; the pieces that the tokenizer splits a text into are encoded once, many together, and remembered."""
+    """Token ids of texts; the pieces that the tokenizer splits a text into are encoded once, many together, and remembered.
 
-    def __init__(self, path: str, dtype):
+    With ``added`` the tokenizer is used as given: its added tokens are found in texts.  Without, they are spelled out.
+    """
+
+    def __init__(self, path: str, dtype, added: bool = False):
         import json
         import os
 
@@ -44,13 +47,17 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.of_pieces = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = self.of_pieces.encode_special_tokens = True
+        self.of_pieces.encode_special_tokens = True  # no piece holds an added token whole
+        if not added:
+            self.tokenizer.encode_special_tokens = True
         # pieces are normal already, and parted by spaces
         self.of_pieces.normalizer = None
         self.of_pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.dtype = dtype
         with open(path, encoding="utf-8") as f:
             described = json.load(f)
+        #: A text that holds one of these goes to the tokenizer whole.
+        self.added = [t["content"].lower() for t in described.get("added_tokens", [])] if added else []
         vocabulary = described["model"]["vocab"]
         suffix = described["model"].get("end_of_word_suffix")
         splits = json.dumps(described.get("pre_tokenizer"))
@@ -96,8 +103,9 @@ class Encoder:
         placed: list = []
         get = self.place.__getitem__
         for text in texts:
-            if self.known_kind and not _PLAIN.search(text):
-                pieces = _PIECES.findall(text.lower())
+            low = text.lower()
+            if self.known_kind and not _PLAIN.search(text) and not any(t in low for t in self.added):
+                pieces = _PIECES.findall(low)
                 placed.append(np.fromiter(map(get, pieces), dtype=np.int64, count=len(pieces)))
             else:
                 placed.append(None)
@@ -142,7 +150,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end: int = END_ID) -> DataFrame:
     def make():
         from pyspark import TaskContext
 
-        encoder, part = Encoder(tokenizer, np.dtype(dtype)), TaskContext.get().partitionId()
+        encoder, part = Encoder(tokenizer, np.dtype(dtype), added=True), TaskContext.get().partitionId()
         so_far = 0
 
         def run(texts):

@@ -113,6 +113,16 @@ def test_packing(docs):
     assert [r.padded_to for r in packing.pack(one, TOKENIZER).collect()] == [2]
 
 
+def test_packing_finds_added_tokens(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(TOKENIZER)
+    texts = ["end <|endoftext|> next", "<|startoftext|>It's<|endoftext|>", "a <|ENDOFTEXT|> b", "<|endoftext| > plain", "no token"]
+    want = {i: [*t.encode(x, add_special_tokens=False).ids, 2] for i, x in enumerate(texts)}
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), TOKENIZER).collect()
+    assert {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in got} == {i: (len(x), zlib.crc32(b"".join(k.to_bytes(4, "little") for k in x))) for i, x in want.items()}
+
+
 def test_language(spark, docs):
     got = language_id.identify(docs)
     by = {r.doc_id: r for r in got.collect()}
