@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +18,14 @@ from pyspark.sql.pandas.types import to_arrow_type
 SLICE_BYTES = 8 << 20
 
 
+_OPEN = threading.local()
+
+
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``, which all executors share; where it is unset, one made for this machine."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset, one in the warehouse.  All executors share both."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="rallyframe-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_rallyframe_scratch"
         spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -38,7 +42,42 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    if levels := getattr(_OPEN, "levels", None):
+        levels[-1][path] = made
+    return made
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables that ``materialise`` writes inside are deleted at the end, but for those given to the function that this yields.
+
+    A table that is kept belongs to the scope around this one, if there is one; without any scope tables stay.  Nothing that
+    is computed later may read a deleted table.
+    """
+    levels = _OPEN.levels = getattr(_OPEN, "levels", [])
+    made: dict[str, DataFrame] = {}
+    kept: list[DataFrame] = []
+    levels.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    try:
+        yield keep
+    finally:
+        levels.pop()
+        for path, df in made.items():
+            if not any(df is k for k in kept):
+                _delete(spark, path)
+            elif levels:
+                levels[-1][path] = df
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def without(df: DataFrame, names: Iterable[str]) -> list[str]:

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, scratch
 
 #: Edges that one task contracts to stars in memory before the rounds.
 CONTRACTED = 200_000
@@ -45,19 +45,25 @@ def connected(edges: DataFrame) -> DataFrame:
 
     An empty table gives an empty table; loops and repeated edges are ignored.
     """
-    edges = edges.select("a", "b").where("a <> b")
-    parts = -(-edges.count() // CONTRACTED)
-    now = materialise(edges.repartition(max(1, parts)).mapInArrow(_contract, "a long, b long"), "stars")
-    while parts > 1:
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("low"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-        low = down.groupBy("a").agg(F.min("b").alias("low"))
-        small = down.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        after = materialise(small.union(low.select("a", F.col("low").alias("b"))).distinct(), "stars")
-        same = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() == after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        now = after
-        if same:
-            break
-    return now
+    with scratch(edges.sparkSession) as keep:
+        edges = edges.select("a", "b").where("a <> b")
+        parts = -(-edges.count() // CONTRACTED)
+        now = materialise(edges.repartition(max(1, parts)).mapInArrow(_contract, "a long, b long"), "stars")
+        state = _state(now)
+        while parts > 1:
+            both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            low = both.groupBy("a").agg(F.min("b").alias("low"))
+            large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "low").alias("b"))
+            down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+            low = down.groupBy("a").agg(F.min("b").alias("low"))
+            small = down.join(low, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
+            now, before = materialise(small.union(low.select("a", F.col("low").alias("b"))).distinct(), "stars"), state
+            state = _state(now)
+            if state == before:
+                break
+        return keep(now)
+
+
+def _state(stars_: DataFrame):
+    """Number and sum of hashes of the rows, to tell whether a round changed any."""
+    return stars_.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

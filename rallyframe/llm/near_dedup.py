@@ -6,6 +6,8 @@
    a class is paired with up to ``NEAR`` that follow it and share ``LEAST`` labels at least.  In a sparse region these are
    all that share so few labels; in a dense one only those with much longer prefixes: the depth adapts to the region.
    Pairs whose sketches are far apart are left out (``ESTIMATE`` is five standard errors below the threshold).
+   Regions with more than ``NEAR`` neighbours are then finished: each of their classes that is not yet in the region's
+   largest group is compared by sketches with all classes of the region, so that no pair with ``LEAST`` equal labels is lost.
 3. Pairs give candidate groups.  The shingle sets of their classes are fetched once, and all pairs of a group are compared
    exactly.  A group beyond ``BLOCK`` classes is cut into blocks, which are then compared with the group's ``HUBS`` best
    linked classes.  That connects most classes; each one that is still apart from the group's largest component is then
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, column, map_texts, materialise, passes, slices, without
+from .common import bit_filter, column, map_texts, materialise, passes, scratch, slices
 from .components import connected, stars
 
 SHINGLE, SIMILAR = 2, 80
@@ -29,6 +31,8 @@ LEAST, NEAR, ESTIMATE = 2, 40, 0.58
 #: Classes, and shingles, that are compared in one block.
 BLOCK, BLOCK_SHINGLES = 1024, 4_000_000
 HUBS = 32
+#: Classes of a region, and of those outside its largest group, whose sketches are compared in one task.
+REGION, OUTSIDE = 8192, 1024
 #: Classes, and shingles, of one block of classes that are compared with a whole group; blocks of a group in one round.
 LOOSE, LOOSE_SHINGLES, LOOSE_BLOCKS = 512, 1_000_000, 8
 FILTER_BITS = 26
@@ -111,66 +115,141 @@ def _trees(batches):
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(batch), tree, np.int32)), pa.array([x.tobytes() for x in label], type=pa.binary()), rep, n, sketch], names=["tree", "label", "rep", "n", "sketch"])
 
 
+#: Rows of one scan: pairs (a, b), rows at the edges of partitions (with rep), and regions that go beyond ``NEAR`` (label only).
 _PAIR_SCHEMA = "a long, b long, tree int, label binary, rep long, n long, sketch binary"
 _PAIR_NAMES = ["a", "b", "tree", "label", "rep", "n", "sketch"]
 
 
+def _alike(sketch: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sketches (along the last axis) are near enough; labels of a byte are equal by chance once in 256."""
+    return ((sketch == other).mean(axis=-1) - 1 / 256) / (1 - 1 / 256) >= ESTIMATE
+
+
+def _sized(n: np.ndarray, other: np.ndarray, threshold: int) -> np.ndarray:
+    return 100 * np.minimum(n, other) >= threshold * np.maximum(n, other)
+
+
+def _raw(column_: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column_.to_pylist()), np.uint8).reshape(len(column_), -1)
+
+
 def _scan(threshold: int, edges: bool):
-    """Star edges of the pairs of neighbours in sorted rows; with ``edges`` also the first and last ``NEAR`` rows of the partition."""
+    """Star edges of the pairs of neighbours in sorted rows, and regions beyond ``NEAR``; with ``edges`` also the rows at both
+    ends of the partition, each once, for a second scan over the joints."""
+
+    def row(a=None, b=None, tree=None, label=None):
+        size = next(len(x) for x in (a, tree) if x is not None)
+        null = pa.nulls(size)
+        long = lambda x: null.cast(pa.int64()) if x is None else pa.array(np.ascontiguousarray(x), type=pa.int64())
+        there = [null.cast(pa.int32()) if tree is None else pa.array(tree, type=pa.int32()), null.cast(pa.binary()) if label is None else pa.array(label, type=pa.binary())]
+        return pa.RecordBatch.from_arrays([long(a), long(b), *there, long(None), long(None), null.cast(pa.binary())], names=_PAIR_NAMES)
 
     def near(rows):
         tree, rep, n = (rows.column(i).to_numpy() for i in (0, 2, 3))
-        label = np.frombuffer(b"".join(rows.column(1).to_pylist()), np.uint8).reshape(len(rows), -1).view(np.uint16)
-        sketch = np.frombuffer(b"".join(rows.column(4).to_pylist()), np.uint8).reshape(len(rows), -1)
+        label = _raw(rows.column(1)).view(np.uint16)
+        sketch = _raw(rows.column(4))
+        pairs = []
+        same = lambda lag: np.flatnonzero((tree[lag:] == tree[:-lag]) & (label[lag:, :LEAST] == label[:-lag, :LEAST]).all(1))
         for lag in range(1, min(NEAR, len(rows) - 1) + 1):
-            i = np.flatnonzero((tree[lag:] == tree[:-lag]) & (label[lag:, :LEAST] == label[:-lag, :LEAST]).all(1))
-            low, high = np.minimum(n[i], n[i + lag]), np.maximum(n[i], n[i + lag])
-            i = i[(100 * low >= threshold * high) & (rep[i] != rep[i + lag])]
+            i = same(lag)
+            i = i[_sized(n[i], n[i + lag], threshold) & (rep[i] != rep[i + lag])]
             for a in range(0, len(i), 20_000):
                 j = i[a : a + 20_000]
-                share = (sketch[j] == sketch[j + lag]).mean(axis=1)
-                j = j[(share - 1 / 256) / (1 - 1 / 256) >= ESTIMATE]
-                yield np.minimum(rep[j], rep[j + lag]), np.maximum(rep[j], rep[j + lag])
-
-    def told(pairs):
-        # only what they connect matters: so many rows as classes, not pairs
-        a, b = (np.concatenate(x) for x in zip(*pairs))
-        got = np.unique(np.stack([a, b], 1), axis=0).tolist()
-        got = np.array([(b, a) for a, b in stars(got)], dtype=np.int64).reshape(-1, 2)
-        null = pa.nulls(len(got))
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, 0])), pa.array(np.ascontiguousarray(got[:, 1])), null.cast(pa.int32()), null.cast(pa.binary()), null.cast(pa.int64()), null.cast(pa.int64()), null.cast(pa.binary())], names=_PAIR_NAMES)
+                j = j[_alike(sketch[j], sketch[j + lag])]
+                if len(j):
+                    pairs.append(np.stack([np.minimum(rep[j], rep[j + lag]), np.maximum(rep[j], rep[j + lag])], 1))
+        if pairs:  # only what they connect matters: so many rows as classes, not pairs
+            got = np.unique(np.concatenate(pairs), axis=0).tolist()
+            got = np.array([(b, a) for a, b in stars(got)], dtype=np.int64).reshape(-1, 2)
+            yield row(a=got[:, 0], b=got[:, 1])
+        if len(rows) > NEAR + 1 and len(i := same(NEAR + 1)):
+            regions = sorted({(t, x.tobytes()) for t, x in zip(tree[i].tolist(), label[i, :LEAST])})
+            yield row(tree=[t for t, _ in regions], label=[x for _, x in regions])
 
     def edge(rows):
         null = pa.nulls(len(rows)).cast(pa.int64())
         return pa.RecordBatch.from_arrays([null, null, *rows.columns], names=_PAIR_NAMES)
 
     def run(batches):
+        size = NEAR + 1
         held, seen = None, 0
         for batch in batches:
             if not len(batch):
                 continue
-            if edges and seen < NEAR:
-                yield edge(batch.slice(0, NEAR - seen))
+            if edges and seen < size:
+                yield edge(batch.slice(0, size - seen))
             seen += len(batch)
             rows = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0] if held is not None else batch
-            if pairs := list(near(rows)):
-                yield told(pairs)
-            held = rows.slice(max(0, len(rows) - NEAR))
-        if edges and held is not None:
-            yield edge(held)
+            yield from near(rows)
+            held = rows.slice(max(0, len(rows) - size))
+        if edges and seen > size:  # the first rows are told already
+            yield edge(held.slice(max(0, 2 * size - seen)))
+
+    return run
+
+
+def _across(threshold: int):
+    """Star edges between the outside classes and all others of each (tree, region, outside, block) of sorted rows."""
+
+    def run(batches):
+        for rows in _groups(batches, 4):
+            rows = rows.combine_chunks()
+            out = rows["out"].to_numpy()
+            own, others = np.flatnonzero(out), np.flatnonzero(~out)
+            rep, n, comp = (rows[c].to_numpy() for c in ("rep", "n", "comp"))
+            sketch = _raw(rows["sketch"].combine_chunks())
+            found = []
+            for i in own.tolist():
+                j = others[(comp[others] != comp[i]) & _sized(n[others], n[i], threshold)]
+                j = j[_alike(sketch[j], sketch[i])]
+                if len(j):
+                    found.append(np.stack([np.full(len(j), rep[i]), rep[j]], 1))
+            if found:
+                got = np.array(stars(np.concatenate(found).tolist()), dtype=np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(got[:, 1])), pa.array(np.ascontiguousarray(got[:, 0]))], names=["a", "b"])
 
     return run
 
 
+def _finished(trees: DataFrame, regions: DataFrame, groups: DataFrame, threshold: int, parts: int) -> DataFrame:
+    """``groups`` after every class outside the largest group of its region met all classes of the region.
+
+    Pairs inside that group need no comparison, and any other pair has a class outside.  Work grows with the classes of a region
+    times those outside its largest group; beyond ``REGION`` and ``OUTSIDE`` of them it is dealt to several tasks.
+    """
+    key = ["tree", "region"]
+    members = trees.withColumn("region", F.substring("label", 1, 2 * LEAST)).join(regions, key)
+    members = members.join(groups.toDF("rep", "comp"), "rep", "left").select(*key, "rep", "n", "sketch", F.coalesce("comp", "rep").alias("comp"))
+    members = materialise(members, "regions")
+    sizes = members.groupBy(*key, "comp").agg(F.count("*").alias("c")).groupBy(*key)
+    sizes = sizes.agg(F.sum("c").alias("all"), F.max_by("comp", F.struct("c", "comp")).alias("main"), (F.sum("c") - F.max("c")).alias("rest")).where("rest > 0")
+    sizes = sizes.select(*key, "main", F.ceil(F.col("all") / REGION).alias("blocks"), F.ceil(F.col("rest") / OUTSIDE).alias("outsides"))
+    members = members.join(materialise(sizes, "sizes"), key)
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    outside = F.pmod(F.xxhash64("rep", F.lit(1)), F.col("outsides"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    rest = ["rep", "n", "comp", "sketch"]
+    own = members.where("comp <> main").select(*key, outside.alias("outside"), each("blocks").alias("block"), F.lit(True).alias("out"), *rest)
+    others = members.select(*key, each("outsides").alias("outside"), block.alias("block"), F.lit(False).alias("out"), *rest)
+    order = [*key, "outside", "block"]
+    found = own.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_across(threshold), "a long, b long")
+    return connected(groups.union(found))
+
+
 def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
-    """Distinct pairs a < b of class representatives that connect the candidate groups."""
-    trees = classes.select("rep", "n", "signature").mapInArrow(_trees, "tree int, label binary, rep long, n long, sketch binary")
-    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["tree", "label", "rep"]
-    found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_scan(threshold, True), _PAIR_SCHEMA), "neighbours")
-    bounds = found.where("tree is not null").select("tree", "label", "rep", "n", "sketch").repartition(TREES, "tree").sortWithinPartitions(*order)
-    more = bounds.mapInArrow(_scan(threshold, False), _PAIR_SCHEMA)
-    return materialise(found.where("tree is null").select("a", "b").union(more.select("a", "b")).distinct(), "candidates")
+    """(a, b): each class (by representative) that is not the smallest of its candidate group, with the smallest."""
+    with scratch(classes.sparkSession) as keep:
+        trees = classes.select("rep", "n", "signature").mapInArrow(_trees, "tree int, label binary, rep long, n long, sketch binary")
+        parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        order = ["tree", "label", "rep"]
+        found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_scan(threshold, True), _PAIR_SCHEMA), "neighbours")
+        bounds = found.where("rep is not null").select("tree", "label", "rep", "n", "sketch").repartition(TREES, "tree").sortWithinPartitions(*order)
+        found = found.where("rep is null").union(materialise(bounds.mapInArrow(_scan(threshold, False), _PAIR_SCHEMA), "joints"))
+        groups = connected(found.where("a is not null").select("a", "b"))
+        regions = materialise(found.where("a is null").select("tree", F.col("label").alias("region")).distinct(), "dense")
+        if regions.limit(1).count():
+            groups = _finished(trees, regions, groups, threshold, parts)
+        return keep(groups)
 
 
 # ---- confirmation
@@ -209,7 +288,7 @@ def _groups(batches, key: int):
     for batch in batches:
         if not len(batch):
             continue
-        columns = [batch.column(i).to_numpy() for i in range(key)]
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(key)]
         new = np.zeros(len(batch), bool)
         for c in columns:
             new[1:] |= c[1:] != c[:-1]
@@ -316,14 +395,13 @@ def _loose_connected(large: DataFrame, edges: DataFrame, threshold: int, parts:
         others = large.join(F.broadcast(asked), "comp").select("comp", "loose_block", "block", "node", F.lit(False).alias("loose"), "words")
         order = ["comp", "loose_block", "block"]
         found = loose.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare_loose(threshold), "a long, b long")
-        edges = materialise(connected(edges.union(found)), "edges")
+        edges = connected(edges.union(found))
     return edges
 
 
 def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
     """Confirmed (a, b) that connect the classes of each component."""
-    pairs = _candidates(classes, threshold)
-    groups = connected(pairs)
+    groups = _candidates(classes, threshold)
     groups = groups.union(groups.select("b", "b").distinct()).toDF("node", "comp")
     groups = groups.join(classes.select("rep", "n", "digest", "doc"), F.col("node") == F.col("rep")).drop("rep")
     totals = groups.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
@@ -345,8 +423,7 @@ def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
     hubs = linked.where("degree > 0").withColumn("r", F.row_number().over(best)).where(F.col("r") <= HUBS).select(F.col("a").alias("node"), "comp")
     hub_sets = large.join(hubs, ["comp", "node"]).select("comp", "blocks", "node", "words").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     again = compare(large.select("comp", "block", "node", "words").union(hub_sets.select("comp", "block", "node", "words")))
-    edges = materialise(connected(edges.union(again.where("a <> b").select("a", "b"))), "edges")
-    return _loose_connected(large, edges, threshold, parts)
+    return _loose_connected(large, connected(edges.union(again.where("a <> b").select("a", "b"))), threshold, parts)
 
 
 def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -> DataFrame:
@@ -354,9 +431,19 @@ def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -
 
     Null, empty or wordless text: size 0, linked with nothing.  Rows with equal sets are linked; rows that repeat a doc_id are
     each answered by their own text.  A null doc_id is no candidate for the smallest: alone, its component_id is null and it
-    is kept.  Empty table: empty result.
+    is kept.  Very long texts are taken whole; ties do not arise.  Empty table: empty result.  Other columns of ``docs`` are not
+    looked at, whatever their names.
     """
-    signed = materialise(_signed(docs, size), "signed")
+    with scratch(docs.sparkSession) as keep:
+        signed = keep(materialise(_signed(docs, size), "signed"))
+        named = keep(_named(docs, signed, size, threshold))
+    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _named(docs: DataFrame, signed: DataFrame, size: int, threshold: int) -> DataFrame:
+    """Table of (digest, component_id)."""
     classes = (
         signed.where("digest is not null and doc_id is not null")
         .groupBy("digest")
@@ -373,19 +460,17 @@ def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -
     if twice:
         least = named.groupBy("component_id").agg(F.min("doc").alias("least"))
         named = named.join(least, "component_id").select("digest", F.col("least").alias("component_id"))
-    named = named.select("digest", "component_id")
-    out = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return materialise(named.select("digest", "component_id"), "components")
 
 
 def representatives(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -> DataFrame:
     """``docs`` with one document of each group of near copies, the one with the smallest doc_id; columns as they were.
 
-    Rows that repeat both the doc_id and the text of a kept document are that document, and stay.
+    Rows that repeat both the doc_id and the text of a kept document are that document, and stay; so do null and wordless texts.
+    Empty table: empty result.  Other columns may have any names.
     """
     found = components(docs, size, threshold).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(found, column(docs, "doc_id").cast("long").eqNullSafe(F.col("__kept")), "left_semi")
+    return docs.join(found, column(docs, "doc_id").cast("long").eqNullSafe(found["__kept"]), "left_semi")
 
 
 ORACLE = r"""

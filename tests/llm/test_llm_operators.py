@@ -196,8 +196,8 @@ def test_near_dedup_of_large_groups_without_hubs_and_candidate_pairs(spark, monk
     """Classes of different blocks meet even if neither is a hub and their pair is no candidate."""
     for name, value in {"BLOCK": 8, "HUBS": 1, "LOOSE": 4, "LOOSE_BLOCKS": 2}.items():
         monkeypatch.setattr(near_dedup, name, value)
-    # candidates only hold the group together: a chain of pairs in an order that has nothing to do with similarity
-    monkeypatch.setattr(near_dedup, "_candidates", lambda classes, threshold: spark.createDataFrame([(i, i + 1) for i in range(119)], "a long, b long"))
+    # candidates only hold the group together
+    monkeypatch.setattr(near_dedup, "_candidates", lambda classes, threshold: spark.createDataFrame([(i, 0) for i in range(1, 120)], "a long, b long"))
     rng, rows = random.Random(9), []
     bases = [prose(300 + k, 90).split() for k in range(20)]
     for i in range(120):
@@ -209,6 +209,40 @@ def test_near_dedup_of_large_groups_without_hubs_and_candidate_pairs(spark, monk
     assert rows_of(near_dedup.components(df), "doc_id", "n_shingles", "component_id", "kept") == brute_components(rows)
 
 
+def one_word_apart(n, positions, seed=1):
+    """Texts of codes: two that differ in one position are near copies, in two are not; and their components."""
+    codes = random.Random(seed).sample(range(1 << positions), n)
+    rows = [(i, " ".join(["head", *(f"p{k}v{c >> k & 1}" for k in range(positions)), "mid", "tail"])) for i, c in enumerate(codes)]
+    at, root = {c: i for i, c in enumerate(codes)}, list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, c in enumerate(codes):
+        for k in range(positions):
+            if (j := at.get(c ^ (1 << k))) is not None:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return rows, {i: find(i) for i in range(n)}
+
+
+def test_near_dedup_loses_no_link_in_a_dense_region(spark):
+    """All of 16,000 documents are alike; only those one word apart are linked."""
+    rows, want = one_word_apart(16_000, 17)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert {r.doc_id: r.component_id for r in near_dedup.components(df).collect()} == want and len(set(want.values())) == 2234
+
+
+def test_near_dedup_finishes_regions_beyond_the_neighbours(spark, monkeypatch):
+    for name, value in {"NEAR": 1, "REGION": 64, "OUTSIDE": 16, "BLOCK": 64}.items():
+        monkeypatch.setattr(near_dedup, name, value)
+    rows, want = one_word_apart(1_200, 17, seed=5)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert {r.doc_id: r.component_id for r in near_dedup.components(df).collect()} == want
+
+
 def brute_substrings(rows, window=20):
     seen, out = set(), {}
     for d, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
