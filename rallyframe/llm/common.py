@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import threading
 import uuid
 from collections.abc import Callable, Iterable
@@ -9,6 +10,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,6 +88,19 @@ def without(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [c for c in df.columns if c.lower() not in taken]
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcasts ``value`` with its classes, so that executors need no copy of this package; the result gives it back there."""
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(shared.value)
+
+
+def free(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it a name that no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = "_" + name
+    return name
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -129,7 +144,7 @@ def map_texts(df: DataFrame, make: Callable, fields: list[T.StructField], keep:
                 yield pa.RecordBatch.from_arrays([*own, *made], names=names)
 
     columns = [column(df, c) for c in keep]
-    return df.select(*columns, column(df, text).cast("binary").alias("__text")).mapInArrow(run, schema)
+    return df.select(*columns, column(df, text).cast("binary").alias(free(df, "__text"))).mapInArrow(run, schema)
 
 
 def bit_filter(hashes: DataFrame, name: str, bits: int = 26) -> bytes:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, map_texts, without
+from .common import column, free, map_texts, share
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -419,10 +419,10 @@ def find_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
     named like a result are replaced.  An added span that overlaps a base one is left out.
     """
     fields = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS] + [T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())]
-    shared = docs.sparkSession.sparkContext.broadcast(trained())  # a few hundred features
+    shared = share(docs.sparkSession, trained())  # a few hundred features
 
     def make():
-        finder = Finder(shared.value)
+        finder = Finder(shared())
 
         def run(texts):
             found = finder.find([t.decode("utf-8", "replace") if t else "" for t in texts])
@@ -447,10 +447,10 @@ def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with all spans redacted in ``text`` and ``n_chars`` counted anew; null text stays null."""
-    shared = docs.sparkSession.sparkContext.broadcast(trained())
+    shared = share(docs.sparkSession, trained())
 
     def make():
-        finder = Finder(shared.value)
+        finder = Finder(shared())
 
         def run(texts):
             plain = [t.decode("utf-8", "replace") if t else "" for t in texts]
@@ -458,9 +458,10 @@ def redact(docs: DataFrame) -> DataFrame:
 
         return run
 
-    out = map_texts(docs, make, [T.StructField("__redacted", T.StringType())], [c for c in docs.columns if c != "text"])
+    made = free(docs, "__redacted")
+    out = map_texts(docs, make, [T.StructField(made, T.StringType())], [c for c in docs.columns if c != "text"])
     chosen = [
-        F.col("__redacted").alias("text") if c == "text" else F.length("__redacted").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else column(out, c)
+        F.col(made).alias("text") if c == "text" else F.length(made).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else column(out, c)
         for c in docs.columns
     ]
     return out.select(*chosen)

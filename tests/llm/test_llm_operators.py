@@ -141,6 +141,100 @@ def test_language(spark, docs):
     assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
 
 
+def brute_slots(text):
+    codes, out = [ord(c) for c in text.lower()], []
+    for order in (1, 2, 3):
+        for i in range(len(codes) - order + 1):
+            h = 0
+            for k in range(order):
+                h = (h * 0x01000193 + (codes[i + k] + k + 1) * 0x9E3779B1) % 2**32
+            out.append(((h ^ h >> 15) * 0x85EBCA6B) % 2**32 >> 17)
+    return out
+
+
+def test_language_equals_plain_python(spark):
+    """TF-IDF, FTRL and probabilities of a small table, step by step with dictionaries and floats."""
+    import math
+
+    import numpy as np
+
+    rows = [(i, prose(400 + i, 12, GERMAN) if i % 3 == 0 else prose(400 + i, 12), "de" if i % 3 == 0 else "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    order = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("h")).collect()}
+    learned = sorted((r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1), key=lambda r: order[r[0]])
+    tf = {}
+    for d, text, _ in rows:
+        slots = brute_slots(text)
+        tf[d] = {x: float(np.float32(slots.count(x) / len(slots))) for x in set(slots)}
+    df_, languages = defaultdict(int), ["de", "en"]
+    for d, _, _ in learned:
+        for x in tf[d]:
+            df_[x] += 1
+    idf = lambda x: math.log((1 + len(learned)) / (1 + df_[x])) + 1
+    scale, bias = language_id.SCALE, "bias"
+    z, n = defaultdict(lambda: [0.0, 0.0]), defaultdict(lambda: [0.0, 0.0])
+
+    def weight(x, c):
+        if abs(z[x][c]) <= language_id.L1:
+            return 0.0
+        return -(z[x][c] - math.copysign(language_id.L1, z[x][c])) / ((language_id.BETA + math.sqrt(n[x][c])) / language_id.ALPHA + language_id.L2)
+
+    def scores(d, known=True):
+        f = {x: v * idf(x) * scale for x, v in tf[d].items()}
+        f[bias] = 1.0
+        return f, [sum(v * weight(x, c) for x, v in f.items()) for c in (0, 1)]
+
+    def soft(s):
+        e = [math.exp(x - max(s)) for x in s]
+        return [x / sum(e) for x in e]
+
+    rng = np.random.default_rng(7)
+    for _ in range(language_id.EPOCHS):
+        for i in rng.permutation(len(learned)):
+            d, _, lang = learned[i]
+            f, s = scores(d)
+            p = soft(s)
+            step = {}
+            for x, v in f.items():
+                for c in (0, 1):
+                    g = v * (p[c] - (languages[c] == lang))
+                    sigma = (math.sqrt(n[x][c] + g * g) - math.sqrt(n[x][c])) / language_id.ALPHA
+                    step[x, c] = (g, sigma * weight(x, c))
+            for (x, c), (g, w) in step.items():
+                z[x][c] += g - w
+                n[x][c] += g * g
+    loss = lambda t: -sum(math.log(soft([x / t for x in scores(d)[1]])[languages.index(lang)]) for d, _, lang in learned)
+    model = language_id.train(df)
+    t = model.temperature
+    assert model.languages == languages and (t == 0.05 or loss(t) <= min(loss(t * 1.01), loss(t / 1.01)) + 1e-9)
+    for r in language_id.predict(df, model, ["doc_id"]).collect():
+        p = soft([x / t for x in scores(r.doc_id)[1]])
+        assert r.lang_pred == languages[p.index(max(p))] and abs(r.score - max(p)) < 1e-3
+
+
+def test_texts_in_no_learned_language_go(spark):
+    rng = random.Random(3)
+    clean = [(i, prose(500 + i, rng.randrange(3, 120), GERMAN if i % 2 else prose(1, 60).split()), "de" if i % 2 else "en") for i in range(300)]
+    junk = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(300)), "日本語の文章はここにあります。" * 6, "w" * 300, "Это предложение написано на русском языке. " * 4, "½ ² Ⅷ", "12345"]
+    df = spark.createDataFrame(clean + [(1000 + i, t, None) for i, t in enumerate(junk)], "doc_id long, text string, lang string").withColumn("__surprise", F.lit(1))
+    assert sorted(r.doc_id for r in language_id.accept(df).collect()) == [r[0] for r in clean]
+    two = spark.createDataFrame([(i, "the same text in a language", "en") for i in range(3000)], "doc_id long, text string, lang string")
+    assert language_id.train(two.union(two)).languages == ["en"]
+
+
+def test_sample_in_chunks_and_repeated_rows(spark, docs, monkeypatch):
+    """Labels of rows that all repeat are learned; features in several chunks give as good a model."""
+    monkeypatch.setattr(language_id, "CHUNK_BYTES", 4000)
+    monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 3)
+    rows = [(7, "immer wieder schön", "de")] * 50 + [(i, prose(i, 20), "en") for i in range(100, 200)]
+    table = spark.createDataFrame([*rows, *[(3, "et toujours le même", "fr")] * 40], "doc_id long, text string, lang string")
+    assert language_id.train(table).languages == sorted({r[2] for r in [*rows, (3, "", "fr")] if zlib.crc32(str(r[0]).encode()) % 3 != 1})
+    monkeypatch.setattr(language_id, "SAMPLE_PER_LANGUAGE", 600)
+    lang = {r.doc_id: r.lang for r in docs.where("doc_id >= 200").collect()}
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(docs).where("held_out and doc_id >= 200").collect()}
+    assert got and sum(lang[i] == p for i, p in got.items()) >= 0.95 * len(got)
+
+
 def brute_components(rows):
     sets = []
     for _, text in rows:

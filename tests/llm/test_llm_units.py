@@ -163,10 +163,15 @@ def test_grams_of_blocks_are_those_of_the_whole(monkeypatch):
     assert (language_id.counts(text) == whole).all() and whole.sum() == 3 * len(text) - 3
 
 
+@pytest.mark.parametrize("text, want", [("½ ² ³ Ⅷ ٣ _ 12 !", False), ("½a", True), ("12 ª", True), ("日", True), ("", False)])
+def test_letters(text, want):
+    assert language_id.has_letter(text) == want
+
+
 def test_temperature_and_ftrl():
     rng = np.random.default_rng(6)
     samples = [("ab"[i % 2], np.array([i % 2, 2 + i % 3], np.int32), np.array([0.1, 0.1])) for i in range(200)]
-    w, bias = language_id.ftrl(samples, np.ones(8), ["a", "b"])
+    w, bias = language_id.ftrl(lambda: [samples[:120], samples[120:]], np.ones(8), ["a", "b"])
     right = [np.argmax((tf * language_id.SCALE) @ w[s] + bias) == (lang == "b") for lang, s, tf in samples]
     assert np.mean(right) == 1.0 and (w[5:] == 0).all()
     z = rng.standard_normal((500, 3)) * 5
