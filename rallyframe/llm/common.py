@@ -147,6 +147,26 @@ def map_texts(df: DataFrame, make: Callable, fields: list[T.StructField], keep:
     return df.select(*columns, column(df, text).cast("binary").alias(free(df, "__text"))).mapInArrow(run, schema)
 
 
+def runs(batches, key: int):
+    """Runs of rows with equal values in the first ``key`` columns of sorted batches, each as one table."""
+    held: list = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(key)]
+        new = np.zeros(len(batch), bool)
+        for c in columns:
+            new[1:] |= c[1:] != c[:-1]
+        cut = np.concatenate(([0], np.flatnonzero(new), [len(batch)]))
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            if held and any(held[-1].column(i)[0] != batch.column(i)[a] for i in range(key)):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def bit_filter(hashes: DataFrame, name: str, bits: int = 26) -> bytes:
     """A bit set of 2**bits slots with the low bits of the longs in ``name``; its size is fixed, 2**bits / 8 bytes.
 

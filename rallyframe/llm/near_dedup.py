@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, column, map_texts, materialise, passes, scratch, slices
+from .common import bit_filter, column, map_texts, materialise, passes, runs, scratch, slices
 from .components import connected, stars
 
 SHINGLE, SIMILAR = 2, 80
@@ -192,7 +192,7 @@ def _across(threshold: int):
     """Star edges between the outside classes and all others of each (tree, region, outside, block) of sorted rows."""
 
     def run(batches):
-        for rows in _groups(batches, 4):
+        for rows in runs(batches, 4):
             rows = rows.combine_chunks()
             out = rows["out"].to_numpy()
             own, others = np.flatnonzero(out), np.flatnonzero(~out)
@@ -282,26 +282,6 @@ def _fetched(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return source.mapInArrow(run, "doc_id long, d binary, words binary")
 
 
-def _groups(batches, key: int):
-    """Runs of rows with equal values in the first ``key`` columns of sorted batches, each as one table."""
-    held: list = []
-    for batch in batches:
-        if not len(batch):
-            continue
-        columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(key)]
-        new = np.zeros(len(batch), bool)
-        for c in columns:
-            new[1:] |= c[1:] != c[:-1]
-        cut = np.concatenate(([0], np.flatnonzero(new), [len(batch)]))
-        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
-            if held and any(held[-1].column(i)[0] != batch.column(i)[a] for i in range(key)):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _links(sets: list[np.ndarray], threshold: int, first: int | None = None) -> np.ndarray:
     """Matrix of links of the ``first`` sets (all by default) to ``sets``: intersections by products over the shingles that two sets have."""
     first = len(sets) if first is None else first
@@ -331,7 +311,7 @@ def _compare(threshold: int):
     """Star edges and degrees of the nodes of each (comp, block)."""
 
     def run(batches):
-        for rows in _groups(batches, 2):
+        for rows in runs(batches, 2):
             rows = rows.combine_chunks()
             nodes, first = np.unique(rows["node"].to_numpy(), return_index=True)
             words = rows["words"].to_pylist()
@@ -349,7 +329,7 @@ def _compare_loose(threshold: int):
     """Star edges between the loose nodes and the others of each (comp, loose_block, block)."""
 
     def run(batches):
-        for rows in _groups(batches, 3):
+        for rows in runs(batches, 3):
             rows = rows.combine_chunks()
             nodes, loose = rows["node"].to_numpy(), rows["loose"].to_numpy()
             own, others = np.flatnonzero(loose), np.flatnonzero(~loose)

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from rallyframe.llm import components, decontaminate, language_id, licences, linear, near_dedup, neighbours, packing, pii, substring_dedup
+from rallyframe.llm import components, decontaminate, language_id, licences, linear, near_dedup, packing, pii, substring_dedup
 from rallyframe.llm.queries import TOKENIZER
 
 WORDS = st.lists(st.sampled_from(["a", "b", "c", "d", "é", "A", "x1"]), max_size=60)
@@ -150,12 +150,6 @@ def test_signatures_estimate_similarity():
         assert abs((a[:labels].view(np.uint16) == b[:labels].view(np.uint16)).mean() - share) < 0.15
 
 
-def test_codes_keep_inner_products():
-    m = np.random.default_rng(4).standard_normal((50, 32))
-    d = neighbours.decoded([x.tobytes() for x in neighbours.encoded(m)])
-    assert np.abs(d @ d.T - m @ m.T).max() < 0.5
-
-
 def test_grams_of_blocks_are_those_of_the_whole(monkeypatch):
     text = "Größe und Maß sind wichtig. " * 20
     whole = language_id.counts(text)
