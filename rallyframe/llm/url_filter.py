@@ -32,30 +32,37 @@ def parts(url: Column) -> tuple[Column, Column]:
 
 
 def grams(host: Column, path: Column) -> Column:
-    """Distinct slots of the n-grams of host and path, between marks for begin and end."""
+    """Distinct slots of the n-grams of host and path, between marks for begin and end; time grows with their length only."""
 
-    def of(text: Column, mark: str, n: int) -> Column:
-        marked = F.concat(F.lit("^"), text, F.lit("$"))
-        size = F.char_length(marked) - (n - 1)
-        each = F.transform(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.crc32(F.concat(F.lit(f"{mark}{n}:"), F.substring(marked, i, F.lit(n))).cast("binary")) % SLOTS)
-        return F.when((text != "") & (size > 0), each).otherwise(F.array().cast("array<bigint>"))
+    def of(text: Column, mark: str) -> Column:
+        # the characters are bound to a lambda's variable, so that they are split once and not for each n-gram
+        return F.get(F.transform(F.array(F.split(F.concat(F.lit("^"), text, F.lit("$")), "")), lambda chars: F.when(text != "", every(chars, mark)).otherwise(F.array().cast("array<bigint>"))), 0)
 
-    return F.array_distinct(F.concat(*(of(t, m, n) for t, m in ((host, "h"), (path, "p")) for n in GRAMS)))
+    def every(chars: Column, mark: str) -> Column:
+        def at(i: Column) -> Column:
+            slot = lambda n: F.crc32(F.concat(F.lit(f"{mark}{n}:"), *(F.get(chars, i + k) for k in range(n))).cast("binary")) % SLOTS
+            return F.array(*map(slot, GRAMS))
+
+        # past the end an n-gram has a null
+        return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.size(chars) - min(GRAMS)), at)))
+
+    return F.array_distinct(F.concat(*(of(t, m) for t, m in ((host, "h"), (path, "p")))))
 
 
 def labelled_urls() -> list[tuple[str, int]]:
-    """The labelled table, 1 for urls to block: made by rule from words of hosts, with the same kinds of paths for both labels."""
+    """The labelled table, 1 for urls to block: made by rule from words of hosts, with the same additions and kinds of paths for both labels."""
     bad = ("casino", "poker", "slots", "bets", "betting", "jackpot", "adult", "porn", "xxx", "sexcam", "spam", "pills", "viagra", "payday", "replica", "warez", "torrent", "crack", "malware", "phish")
-    tails = ("-win", "-farm", "-x", "-free", "24", "-online")
     good = ("the", "there", "tion", "thing", "other", "nation", "weather", "library", "museum", "school", "science", "garden", "recipes", "history", "music", "travel", "city", "health", "sport", "books", "docs", "wiki", "herald", "times", "post", "reading", "station", "paper", "english", "under")
-    ends = ("", "er", "ing", "sh", "-house", "land")
+    # additions before and after a word; they tell nothing
+    before = ("", "my", "best", "online-", "super", "e", "all")
+    after = ("", "s", "club", "-x", "24", "hub", "er", "site", "ing", "-house", "land", "king")
     subs, tops, paths = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org"), ("/en/", "/de/", "/fr/", "/es/", "/")
     rows = []
-    for label, words, tail in ((1, bad, tails), (0, good, ends)):
+    for label, words, each in ((1, bad, 15), (0, good, 10)):
         for i, word in enumerate(words):
-            for j, end in enumerate(tail):
+            for j in range(each):
                 k = i * 7 + j * 3
-                host = f"free{end}-{word}" if label and k % 4 == 0 else f"{word}{end}"
+                host = word if j == 0 else f"{before[k % len(before)]}{word}{after[(k + j) % len(after)]}"
                 rows.append((f"https://{subs[k % 4]}{host}.{tops[k % 3]}{paths[k % 5]}{k * 37 % 999}", label))
     return rows
 
@@ -104,7 +111,9 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict and score of every url.
 
     ``score`` is the model's probability of blocking; it decides where no rule fits.  A null url, one without ``://`` or
-    without a host is judged by its path alone, or the model's bias.  Repeated rows are each answered.
+    without a host is judged by its path alone, or the model's bias.  Repeated rows are each answered.  Rules of one length cannot tie:
+    those that fit a url with one length are equal; of equal rules with different actions the later in alphabetical order stands.
+    Very long urls are taken whole.  Empty table: no rows.  Other columns may have any names.
     """
     weights, bias = trained(pages.sparkSession)
     host, path = parts(column(pages, "url"))
