@@ -5,8 +5,9 @@ one length share a table of shifts by the hash of a block of two words, buckets
 block, and are confirmed by direct comparison.  The text stream of a batch is cut into lanes that advance together, each
 by the shift of its own block, so that most positions are never looked at.
 
-Patterns are searched in chunks of at most ``CHUNK`` (window, item) pairs: one chunk is what is broadcast, and documents
-pass through the chunks one after another without a shuffle.
+Patterns are searched in chunks of at most ``CHUNK`` (window, item) pairs, without a shuffle of documents.  ``TOGETHER``
+chunks are broadcast at once; documents and what was found so far are written before the next ones, so that neither broadcasts
+nor tasks hold more as the benchmark grows.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, map_texts, without
+from .common import column, map_texts, materialise, scratch, without
 
 WINDOW = 10
 #: Most (window, item) pairs that are broadcast at once, about 100 bytes each.
 CHUNK = 200_000
+#: Chunks that one pass over the documents searches.
+TOGETHER = 2
 SHIFT_BITS = 18
 LANES = 4096
 
@@ -159,40 +162,56 @@ def find_occurrences(docs: DataFrame, benchmark: DataFrame, keep: list[str], win
     ``wm_items`` (array of item ids, unordered) of whole texts.
 
     Null or wordless text: no words, no hits.  Empty benchmark: no hits.  Repeated documents are each answered; repeated
-    items count under each of their ids.  Columns of ``docs`` named like a result are replaced.
+    items count under each of their ids.  Texts are taken whole.  Columns of ``docs`` named like a result are replaced.
     """
-    patterns = patterns_of(benchmark, window)
-    item_type = patterns.schema["item"].dataType
-    n_chunks = max(1, -(-patterns.count() // chunk))
-    if n_chunks > 1:
-        patterns = patterns.withColumn("chunk", F.pmod(F.xxhash64("words", "item"), F.lit(n_chunks)))
-    made = ["wm_words", "wm_spans", "wm_items"]
-    keep = [c for c in keep if c.lower() not in made]
-    out, sc = docs, docs.sparkSession.sparkContext
-    for k in range(n_chunks):
-        rows = (patterns if n_chunks == 1 else patterns.where(F.col("chunk") == k)).select("words", "item").collect()
-        shared = sc.broadcast([(bytes(r.words).split(b" "), r.item) for r in rows])
-        last = k == n_chunks - 1
-        fields = [T.StructField(f"wm_words_{k}", T.LongType()), T.StructField(f"wm_spans_{k}", T.ArrayType(T.IntegerType())), T.StructField(f"wm_items_{k}", T.ArrayType(item_type))]
-
-        def make(shared=shared):
-            searcher = Searcher(shared.value)
-
-            def run(texts):
-                n, spans, items = searcher.search(texts)
-                return [n, pa.array([x.ravel() for x in spans], type=pa.list_(pa.int32())), items]
-
-            return run
-
-        earlier = [f"wm_{x}_{j}" for j in range(k) for x in ("words", "spans", "items")]
-        carried = list(dict.fromkeys([*keep, *earlier, *([] if last else ["text"])]))
-        out = map_texts(out, make, fields, carried)
-    words, items = F.col("wm_words_0"), F.array_distinct(F.flatten(F.array(*(f"wm_items_{k}" for k in range(n_chunks)))))
-    if n_chunks == 1:
-        spans = F.col("wm_spans_0")
-    else:
-        spans = _merge_spans(*(F.col(f"wm_spans_{k}") for k in range(n_chunks)))
-    return out.select(*(column(out, c) for c in keep), words.alias("wm_words"), spans.alias("wm_spans"), items.alias("wm_items"))
+    with scratch(docs.sparkSession) as retain:
+        patterns = materialise(patterns_of(benchmark, window), "patterns")
+        item_type = patterns.schema["item"].dataType
+        n_chunks = max(1, -(-patterns.count() // chunk))
+        if n_chunks > 1:
+            patterns = patterns.withColumn("chunk", F.pmod(F.xxhash64("words", "item"), F.lit(n_chunks)))
+        made = ["wm_words", "wm_spans", "wm_items"]
+        keep = [c for c in keep if c.lower() not in made]
+        out, found, mark = docs, [], "wm"
+        while any(c.lower().startswith(mark + "_") for c in docs.columns):
+            mark = "_" + mark
+        for k in range(n_chunks):
+            rows = (patterns if n_chunks == 1 else patterns.where(F.col("chunk") == k)).select("words", "item").collect()
+            out = _searched(out, f"{mark}_{{}}_{k}", rows, item_type, list(dict.fromkeys([*keep, *found, *([] if k == n_chunks - 1 else ["text"])])))
+            found += [f"{mark}_{x}_{k}" for x in _MADE]
+            if k % TOGETHER == TOGETHER - 1 and k < n_chunks - 1:
+                # one result stands for those so far
+                out = out.select(*(column(out, c) for c in dict.fromkeys([*keep, "text"])), *(x.alias(n) for x, n in zip(_united(found), found[-3:])))
+                out, found = retain(materialise(out, "searched")), found[-3:]
+    return out.select(*(column(out, c) for c in keep), *(x.alias(n) for x, n in zip(_united(found), made)))
+
+
+_MADE = ("words", "spans", "items")
+
+
+def _searched(docs: DataFrame, name: str, rows: list, item_type: T.DataType, carried: list[str]) -> DataFrame:
+    """``carried`` columns of ``docs``, and words, spans and items of one chunk in columns of ``name``."""
+    shared = docs.sparkSession.sparkContext.broadcast([(bytes(r.words).split(b" "), r.item) for r in rows])
+    fields = [T.StructField(name.format(x), t) for x, t in zip(_MADE, (T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(item_type)))]
+
+    def make():
+        searcher = Searcher(shared.value)
+
+        def run(texts):
+            n, spans, items = searcher.search(texts)
+            return [n, pa.array([x.ravel() for x in spans], type=pa.list_(pa.int32())), items]
+
+        return run
+
+    return map_texts(docs, make, fields, carried)
+
+
+def _united(found: list[str]) -> tuple:
+    """Words, spans and items of columns named in threes."""
+    words, spans, items = (found[i::3] for i in range(3))
+    if len(words) == 1:
+        return F.col(words[0]), F.col(spans[0]), F.col(items[0])
+    return F.col(words[0]), _merge_spans(*map(F.col, spans)), F.array_distinct(F.flatten(F.array(*map(F.col, items))))
 
 
 def _merge_spans(*columns):
@@ -222,7 +241,7 @@ def span_words(spans):
 
 
 def digest(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
+    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated; see ``find_occurrences`` for odd rows."""
     found = find_occurrences(docs, benchmark, ["doc_id"], window, chunk)
     text = F.array_join(F.array_sort(F.transform("wm_items", lambda x: x.cast("string"))), ",")
     return found.select(
