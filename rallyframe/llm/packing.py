@@ -12,6 +12,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,7 +181,8 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END_I
     """Pieces of documents in sequences of ``length`` tokens: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, padded_to.
 
     ``padded_to`` is ``length``, but for a last sequence whose tokens number a power of two, which stays as it is.  Empty
-    table: no pieces.  A text of any length is cut freely; each id lies in exactly one piece.
+    table: no pieces.  A text of any length is cut freely; each id lies in exactly one piece.  Null and empty texts have the end id
+    alone; repeated rows are each packed; other columns may have any names.  The order of documents is that of the table's partitions.
     """
     tokens = tokenise(docs, tokenizer, end)
     bases = materialise(offsets(tokens), "offsets")
@@ -193,23 +195,20 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END_I
     schema = T.StructType([doc_type] + [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_to")])
 
     def cut(batches):
-        import pyarrow as pa
-
         for batch in batches:
-            ids_, n_, width_, start_ = (batch.column(i).to_pylist() for i in (1, 2, 3, 4))
-            row, cols = [], [[] for _ in range(7)]
-            for r, (ids, n, width, at) in enumerate(zip(ids_, n_, width_, start_)):
-                wide = np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()
-                done = 0
-                while done < n:
-                    seq, off = divmod(at + done, length)
-                    size = min(n - done, length - off)
-                    row.append(r)
-                    for c, v in zip(cols, (done, size, zlib.crc32(wide[4 * done : 4 * (done + size)]), n, seq, off, last_size if seq == last_sequence else length)):
-                        c.append(v)
-                    done += size
-            ids = batch.column(0).take(pa.array(row, type=pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, type=pa.int64()) for c in cols)], names=schema.names)
+            n, width, at = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 3, 4))
+            first, last_one = at // length, (at + n - 1) // length
+            pieces = last_one - first + 1
+            row = np.repeat(np.arange(len(n)), pieces)
+            seq = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            begin = np.maximum(seq * length, at[row])
+            end = np.minimum((seq + 1) * length, (at + n)[row])
+            start, size = begin - at[row], end - begin
+            wide = [np.frombuffer(x, f"<u{w}").astype("<u4").data.cast("B") for x, w in zip(batch.column(1).to_pylist(), width.tolist())]
+            crc = [zlib.crc32(wide[r][4 * a : 4 * (a + k)]) for r, a, k in zip(row.tolist(), start.tolist(), size.tolist())]
+            padded = np.where(seq == last_sequence, last_size, length)
+            arrays = [pa.array(x, type=pa.int64()) for x in (start, size, crc, n[row], seq, begin - seq * length, padded)]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, type=pa.int64())), *arrays], names=schema.names)
 
     placed = tokens.join(bases, "part").select("doc_id", "ids", "n", "width", (F.col("base") + F.col("start_in_part")).alias("at"))
     return placed.mapInArrow(cut, schema)
