@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from .common import column
 
-#: Turn numbers in one block of the running hashes, and in one rendered part: no group holds more steps than that.
+#: Turn numbers in one block of the running hashes and lengths: no group of them holds more steps than that.
 SPAN = 64
+#: Characters of a rendered part; a conversation of fewer is rendered whole.
+PART = 1 << 24
 
 
 def turns(conversations: DataFrame) -> DataFrame:
@@ -58,27 +60,45 @@ def maximal(steps: DataFrame) -> DataFrame:
     return whole.join(proper, ["p1", "p2"], "left_anti").select("conv_id", "copies")
 
 
+def _begins(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``part``: the characters of the conversation before each line, over ``PART``.
+
+    Sums go inside blocks of turn numbers first, then over the blocks of a conversation.
+    """
+    lines = lines.withColumn("size", F.char_length("line").cast("long")).withColumn("block", F.floor(F.col("turn") / SPAN))
+    blocks = lines.groupBy("conv_id", "block").agg(F.sum("size").alias("total"))
+    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("conv_id", "block", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    return lines.join(blocks, ["conv_id", "block"]).withColumn("part", F.floor(begin / PART))
+
+
 def render(conversations: DataFrame) -> DataFrame:
-    """conv_id, part, copies, n_turns, chat: the maximal conversations as text, a row for each ``SPAN`` turn numbers.
+    """conv_id, part, copies, n_turns, chat: the maximal conversations as text, one row each.
 
     A turn is ``<|role|>``, a line break, its text and ``<|end|>`` with a line break; turns with one number are ordered by role
-    and text.  Empty table: no rows.
+    and text, repeated ones are one, and null roles and texts are empty.  A conversation of more than ``PART`` characters goes on in a
+    further row with the next ``part``, cut between turns: one text value cannot hold any length.  Of equal conversations the smallest
+    id stays, with the number of ``copies``.  Empty table: no rows.  Other columns may have any names.
     """
     steps = turns(conversations)
-    kept = steps.join(maximal(steps), "conv_id").withColumn("part", F.floor(F.col("turn") / SPAN))
-    line = lambda x: F.concat(F.lit("<|"), x["role"], F.lit("|>\n"), x["text"], F.lit("<|end|>\n"))
+    line = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("<|end|>\n"))
+    kept = _begins(steps.join(maximal(steps), "conv_id").withColumn("line", line))
     return (
         kept.groupBy("conv_id", "part", "copies")
-        .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("x"))
-        .select("conv_id", "part", "copies", F.size("x").cast("long").alias("n_turns"), F.array_join(F.transform("x", line), "").alias("chat"))
+        .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "line"))).alias("x"))
+        .select("conv_id", "part", "copies", F.size("x").cast("long").alias("n_turns"), F.array_join(F.col("x.line"), "").alias("chat"))
     )
 
 
 ORACLE = """
 WITH t AS (SELECT DISTINCT conv_id, coalesce(turn,-1) turn, coalesce(role,'') role, coalesce(text,'') text FROM conversations WHERE conv_id IS NOT NULL),
-s AS (SELECT conv_id, turn, string_agg('<|'||role||'|>'||chr(10)||text||'<|end|>'||chr(10), '' ORDER BY role, text) line, count(*) n FROM t GROUP BY 1,2),
+l AS (SELECT *, '<|'||role||'|>'||chr(10)||text||'<|end|>'||chr(10) line FROM t),
+s AS (SELECT conv_id, turn, string_agg(line, '' ORDER BY role, text) line FROM l GROUP BY 1,2),
 p AS (SELECT conv_id, turn, string_agg(turn||':'||line, '') OVER w AS prefix, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC)=1 whole FROM s WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING)),
 f AS (SELECT prefix, min(conv_id) conv_id, count(*) copies FROM p WHERE whole GROUP BY 1),
-m AS (SELECT conv_id, copies FROM f WHERE prefix NOT IN (SELECT prefix FROM p WHERE NOT whole))
-SELECT conv_id, CAST(floor(turn/64.0) AS BIGINT) part, copies, CAST(sum(n) AS BIGINT) n_turns, string_agg(line, '' ORDER BY turn) chat FROM m JOIN s USING (conv_id) GROUP BY 1,2,3
+m AS (SELECT conv_id, copies FROM f WHERE prefix NOT IN (SELECT prefix FROM p WHERE NOT whole)),
+b AS (SELECT l.*, copies, CAST(floor(coalesce(sum(length(line)) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),0)/16777216.0) AS BIGINT) part FROM l JOIN m USING (conv_id))
+SELECT conv_id, part, copies, count(*) n_turns, string_agg(line, '' ORDER BY turn, role, text) chat FROM b GROUP BY 1,2,3
 """
