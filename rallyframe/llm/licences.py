@@ -1,13 +1,18 @@
 """Licence scans: a trained paragraph classifier, confirmed by comparison with templates; built-in functions alone.
 
-A paragraph is a line with a letter or digit.  One with a licence term is a candidate: its distinct word 1- and 2-grams are hashed,
-sparse multinomial logistic regression gives each family a probability, calibrated by a temperature, and the best family
-stands if it is not ``other``, reaches ``LEAST``, and a template of the family has ``COVERED`` of its words in the paragraph.  All
-other candidates are of the unknown class.  Weights come from ``labelled_paragraphs()``, a small table of fixed size.
+Paragraphs are the blocks of a text between blank lines, and, in blocks of several lines, its lines too, for a notice may
+be a line of a longer block or be wrapped over several.  The distinct word 1- and 2-grams of a paragraph are hashed, sparse
+multinomial logistic regression gives each family a probability, calibrated by a temperature, and the best family
+stands if it is not ``other``, reaches ``LEAST``, and a template of the family has ``COVERED`` of its words in the paragraph.
+All others are of the unknown class.  Weights come from ``labelled_paragraphs()``, a small table of fixed size.
+
+A paragraph without any of ``MARKS`` can have no template confirmed: each template has more words with a mark than it may
+lack (``proved`` tells).  Such paragraphs are of the unknown class without being scored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from functools import lru_cache
@@ -21,14 +26,14 @@ from .common import column
 SLOTS = 2048
 LEAST, COVERED = 0.5, 0.8
 UNKNOWN, OTHER = "unknown", "other"
-#: Terms of which a candidate has one, in lower case.
-TERMS = ("licen", "copyright", "rights reserved", "permission is", "warrant", "spdx", "public domain", "redistribut")
+#: Texts of which a word of every confirmed paragraph has one, in lower case; ``SHORT`` is a word of its own.
+MARKS, SHORT = ("licen", "released", "reserved", "permission", "hereby", "granted", "obtaining", "spdx", "public", "domain", "proprietary", "apache", "redistribut", "modification", "permitted", "creative", "dedicated"), "cc"
 
 #: Usual notices of the licence families, in lower case without punctuation.
 TEMPLATES = {
-    "apache": ("licensed under the apache license version 2 0", "released under the apache license version 2 0", "spdx license identifier apache 2 0"),
+    "apache": ("licensed under the apache license version 2 0", "released under the apache license version 2 0", "released under apache 2 0", "spdx license identifier apache 2 0"),
     "mit": ("released under the mit license", "licensed under the mit license", "permission is hereby granted free of charge to any person obtaining a copy of this software", "spdx license identifier mit"),
-    "gpl": ("this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 2", "spdx license identifier gpl 3 0"),
+    "gpl": ("this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 2", "gnu general public license version 3", "released under gplv3", "spdx license identifier gpl 3 0"),
     "bsd": ("redistribution and use in source and binary forms with or without modification are permitted", "licensed under the bsd license", "spdx license identifier bsd 3 clause"),
     "cc-by": ("licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
     "cc-by-nc": ("licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
@@ -39,6 +44,16 @@ TEMPLATES = {
 FAMILIES = (*TEMPLATES, OTHER)
 
 
+def marked(word: str) -> bool:
+    return word == SHORT or any(m in word for m in MARKS)
+
+
+def proved() -> bool:
+    """Whether each template has more marked words than a confirmed paragraph may lack."""
+    each = [set(t.split()) for ts in TEMPLATES.values() for t in ts]
+    return all(sum(map(marked, x)) > len(x) - math.ceil(COVERED * len(x) - 1e-9) for x in each)
+
+
 def words(text: str) -> list[str]:
     return re.findall(r"[a-z0-9]+", text.lower())
 
@@ -83,12 +98,18 @@ def classify(text: str) -> str:
     return family if any(sum(x in have for x in set(t.split())) >= COVERED * len(set(t.split())) for t in TEMPLATES[family]) else UNKNOWN
 
 
+def _bound(value: Column, then) -> Column:
+    """``then`` of a lambda's variable that holds ``value``: inside other lambdas an expression would be computed again and again."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def _family(line: Column) -> Column:
     w, bias, t = trained()
-    tokens = F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda x: x != "")
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(tokens) - 1, F.lit(1))), lambda i: F.concat(F.get(tokens, i - 1), F.lit(" "), F.get(tokens, i)))
-    grams = F.array_compact(F.concat(tokens, F.when(F.size(tokens) > 1, pairs).otherwise(F.array().cast("array<string>"))))
-    at = F.array_distinct(F.transform(grams, lambda g: F.crc32(g.cast("binary")) % SLOTS))
+
+    def slots_of(have: Column) -> Column:
+        pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(have) - 1, F.lit(1))), lambda i: F.concat(F.get(have, i - 1), F.lit(" "), F.get(have, i)))
+        grams = F.array_compact(F.concat(have, F.when(F.size(have) > 1, pairs).otherwise(F.array().cast("array<string>"))))
+        return F.array_distinct(F.transform(grams, lambda g: F.crc32(g.cast("binary")) % SLOTS))
 
     def chosen(found: Column, have: Column) -> Column:
         scale = F.sqrt(F.greatest(F.size(found), F.lit(1)).cast("double"))
@@ -111,31 +132,38 @@ def _family(line: Column) -> Column:
             total = F.aggregate(s, F.lit(0.0), lambda a, x: a + F.exp(x["z"] - best["z"]))
             return F.when(best["confirmed"] & (F.lit(1.0) / total >= LEAST), best["family"]).otherwise(F.lit(UNKNOWN))
 
-        return F.get(F.transform(F.array(scored), decided), 0)
+        return _bound(scored, decided)
 
-    return F.get(F.transform(F.array(F.struct(at.alias("at"), tokens.alias("have"))), lambda x: chosen(x["at"], x["have"])), 0)
+    tokens = F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda x: x != "")
+    return _bound(tokens, lambda have: _bound(slots_of(have), lambda at: _bound(F.array_distinct(have), lambda own: chosen(at, own))))
 
 
-def _has_term(text: Column) -> Column:
+def _marked(text: Column) -> Column:
     low = F.lower(text)
-    any_ = F.lit(False)
-    for term in TERMS:
-        any_ = any_ | low.contains(term)
+    any_ = low.contains(SHORT) & low.rlike(f"(^|[^a-z0-9]){SHORT}($|[^a-z0-9])")
+    for mark in MARKS:
+        any_ = any_ | low.contains(mark)
     return any_
 
 
+def paragraphs(text: Column) -> Column:
+    """Blocks between blank lines, and the lines of blocks of several; distinct, in order; those without a letter or digit go."""
+    blocks = F.transform(F.split(text, r"\n[ \t\r]*(?=\n)"), lambda x: F.btrim(x, F.lit(" \t\r\n")))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(" \t\r\n")))
+    return F.array_distinct(F.filter(F.concat(blocks, lines), lambda x: x.rlike(r"[\p{L}\p{Nd}]")))
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_paragraphs, n_candidates, n_confirmed, families of every document.
 
-    ``families`` are the distinct families of confirmed paragraphs, sorted and joined by commas.  Null or empty text: zeros and
-    the empty string.  Repeated rows are each answered.
+    ``n_paragraphs`` counts distinct paragraphs, ``n_candidates`` those that are scored, ``n_confirmed`` those of a licence family;
+    ``families`` are the distinct families of these, sorted and joined by commas.  Null or empty text: zeros and the empty string.
+    Repeated rows are each answered; a tie of scores goes to the family listed first.  Very long texts are taken whole, paragraph by
+    paragraph.  Empty table: no rows.  Other columns may have any names.
     """
     text = F.coalesce(column(docs, "text"), F.lit(""))
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), text.alias("text"))
-    lines = F.split("text", "\n")
-    candidates = F.when(_has_term(F.col("text")), F.filter(lines, _has_term)).otherwise(F.array().cast("array<string>"))
-    paragraphs = F.size(F.filter(lines, lambda x: x.rlike(r"[\p{L}\p{Nd}]"))).cast("long")
-    rows = rows.select("doc_id", paragraphs.alias("n_paragraphs"), candidates.alias("candidates"))
+    rows = docs.select(column(docs, "doc_id").alias("doc_id"), paragraphs(text).alias("each"))
+    rows = rows.select("doc_id", F.size("each").cast("long").alias("n_paragraphs"), F.filter("each", _marked).alias("candidates"))
     rows = rows.select("doc_id", "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), F.transform("candidates", _family).alias("found"))
     confirmed = F.filter("found", lambda x: x != UNKNOWN)
     return rows.select("doc_id", "n_paragraphs", "n_candidates", F.size(confirmed).cast("long").alias("n_confirmed"), F.array_join(F.array_sort(F.array_distinct(confirmed)), ",").alias("families"))
