@@ -8,7 +8,8 @@ sorting brings equal windows together and all but the earliest are marked.
   fixed size of those that occur again, so that little but repeated text travels.
 - A task first sorts its own windows and sends only the earliest of equal ones, so a passage that a third of all documents
   share reaches its bucket once for each slice of a task.
-- Windows of the most frequent minimisers (at most ``HOT`` of them) travel one by one, dealt by their own hash.
+- Windows of a minimiser that occurs more than ``HOT`` times travel one by one, dealt by their own hash; a bit set of fixed size
+  marks such minimisers, and what it marks by chance is only dealt in the same way.
 """
 
 from __future__ import annotations
@@ -21,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, column, map_texts, passes, slices
+from .common import bit_filter, column, materialise, passes, scratch, slices
 
 WINDOW, GRAM = 20, 6
+#: Slots of the bit set of minimisers that occur again.  Beyond some 10^8 of them it fills up, and more text travels, with equal results.
 FILTER_BITS = 27
-#: Most minimisers that count as hot, and the fewest occurrences of one.
-HOT, HOT_LEAST = 10_000, 1_000
+#: Occurrences beyond which a minimiser is hot, and slots of the bit set of those.
+HOT, HOT_BITS = 1_000, 24
 #: Windows that a bucket task sorts at once; a bucket is never divided.
 SORTED_AT_ONCE = 300_000
 #: Words of the stream that are looked at together.
@@ -126,18 +128,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """Word spans (doc_id, text_hash, start, size) of windows that start earlier elsewhere; spans may overlap or repeat."""
     spark = docs.sparkSession
     source = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), F.xxhash64(column(docs, "text")).alias("h"), column(docs, "text").cast("binary").alias("text"))
-    from .common import materialise
-
     counted = materialise(_minimisers(source.select("text")).where("n > 1"), "minimisers")
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    hot = counted.where(F.col("n") > max(HOT_LEAST, total // HOT)).select("m").toArrow()["m"].to_numpy()  # HOT at most
-    shared = spark.sparkContext.broadcast((bit_filter(counted, "m", FILTER_BITS), np.sort(hot.view(np.uint64))))
+    shared = spark.sparkContext.broadcast((bit_filter(counted, "m", FILTER_BITS), bit_filter(counted.where(F.col("n") > HOT), "m", HOT_BITS)))
 
     schema = "m long, doc_id long, h long, start int, size int, words binary"
     names = ["m", "doc_id", "h", "start", "size", "words"]
 
     def send(batches):
-        bits, hot = np.frombuffer(shared.value[0], np.uint64), shared.value[1]
+        bits, hot = (np.frombuffer(x, np.uint64) for x in shared.value)
         for batch in batches:
             texts = batch.column(2).to_pylist()
             doc_ids = np.array([-(1 << 63) if x is None else x for x in batch.column(0).to_pylist()], dtype=np.int64)
@@ -182,7 +180,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         goes_on = np.concatenate(([False], (d[1:] == d[:-1]) & (s[1:] == s[:-1] + 1)))
         b, e = _stretches(later, goes_on)
         yield _rows(_mix(hashes[d[b]].view(np.uint64)), doc_ids[d[b]], hashes[d[b]], s[b], e - b + WINDOW - 1, [None] * len(b))
-        single = hot[np.minimum(np.searchsorted(hot, value), len(hot) - 1)] == value if len(hot) else np.zeros(len(value), bool)
+        single = passes(hot, value, HOT_BITS)
         same_run = np.concatenate(([False], (run[1:] == run[:-1]) & ~single[run[1:]])) & goes_on
         b, e = _stretches(~later, same_run)
         m = value[run[b]].copy()
@@ -245,32 +243,32 @@ def dedup(docs: DataFrame) -> DataFrame:
     Removed are words in a window that also starts earlier: in a document with a smaller id, or earlier in the same one.
     Null or wordless text: no words, the hash of the empty string.  Fewer than ``WINDOW`` words: nothing removed.  Rows with one
     doc_id and one text are one document, each answered alike; rows with one doc_id and different texts are
-    ordered by the texts' hashes.  A null doc_id comes before all others.
+    ordered by the texts' hashes.  A null doc_id comes before all others.  Very long texts are taken whole.  Empty table: no rows.
+    Other columns may have any names.
     """
     spans = (
         repeated_spans(docs)
         .groupBy("doc_id", "h")
         .agg(F.collect_set(F.struct("start", "size")).alias("spans"))  # at most one for each word of a document
-        .select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.to_json("spans").alias("spans"))
+        .select(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("spans.start").alias("starts"), F.col("spans.size").alias("sizes"))
     )
     source = docs.select(column(docs, "doc_id"), column(docs, "text"))
     source = source.withColumn("__h2", F.xxhash64("text")).withColumn("__d2", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-    joined = source.join(spans, (F.col("__d2") == F.col("__doc")) & (F.col("__h2") == F.col("__h")), "left").select("doc_id", "text", "spans")
+    joined = source.join(spans, (F.col("__d2") == F.col("__doc")) & (F.col("__h2") == F.col("__h")), "left").select("doc_id", "text", "starts", "sizes")
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]
     schema = T.StructType([joined.schema["doc_id"], *fields])
 
     def run(batches):
-        import json
-
         for batch in batches:
             total, removed, digest = [], [], []
-            for text, spans_ in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            starts, sizes = (batch.column(i) for i in (2, 3))
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 words = text.split() if text else []
-                if spans_:
+                if starts[i].is_valid:
                     depth = np.zeros(len(words) + 1, np.int32)
-                    got = np.array([(s["start"], s["start"] + s["size"]) for s in json.loads(spans_)])
-                    np.add.at(depth, got[:, 0], 1)
-                    np.add.at(depth, got[:, 1], -1)
+                    start, size = starts[i].values.to_numpy(), sizes[i].values.to_numpy()
+                    np.add.at(depth, start, 1)
+                    np.add.at(depth, start + size, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(depth)[:-1] == 0).tolist()]
                 else:
                     kept = words
@@ -279,7 +277,7 @@ def dedup(docs: DataFrame) -> DataFrame:
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, type=pa.int64()), pa.array(removed, type=pa.int64()), pa.array(digest)], names=schema.names)
 
-    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "spans").mapInArrow(run, schema)
+    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "starts", "sizes").mapInArrow(run, schema)
 
 
 ORACLE = r"""

@@ -177,7 +177,27 @@ def test_temperature_and_ftrl():
 def test_licence_classifier():
     held = {"Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "This work is licensed under the GNU General Public License, version 3.": "gpl", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "All rights reserved.": "proprietary", "Your driving license has expired, officer.": "unknown", "Licensed under the terms of my friend": "unknown"}
     assert {t: licences.classify(t) for t in held} == held
-    assert all(any(term in t for term in licences.TERMS) or "redistribution" in t for ts in licences.TEMPLATES.values() for t in ts)
+    wrapped = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the 'Software'), to deal\nin the Software without restriction, including the rights to use and copy"
+    more = {wrapped: "mit", "Released under Apache 2.0": "apache", "Text and data available under CC BY-SA 4.0": "cc-by-sa", "This work is under a Creative Commons Attribution 4.0 International": "cc-by", "Released under GPLv3.": "gpl"}
+    assert {t: licences.classify(t) for t in more} == more
+    assert licences.proved()
+
+
+def test_licences_on_paragraphs_that_were_not_learned():
+    """Precision and recall on notices in other surroundings, and on prose with the same words."""
+    before = ["", "Copyright 2019 J. Doe. ", "All files here are ", "Unless noted, content is ", "(c) 2021 Example Ltd. ", "* "]
+    after = ["", " You may obtain a copy at the web site.", " See the file for more.", "\nThe rest follows."]
+    other = [
+        "The licensed electrician came under the old rules at nine", "She has the right to public speech under the law", "The museum reserved all rooms for the meeting", "His fishing permission was granted in spring",
+        "A public work of art stood in the domain of the king", "Apache helicopters and gnu herds were released", "The license plate version 2 of the car", "Creative people attribute success to common sense", "cc the author by mail, version 4",
+        "He was released under the condition of silence", "Redistribution of income is a general public matter", "Modification of the house is permitted", "The pilot license exam has 3 parts", "rights of way are reserved for trams",
+    ]
+    want = [(b + t[0].upper() + t[1:] + "." + a, f) for f, ts in licences.TEMPLATES.items() for t in ts for b in before for a in after]
+    got = [(licences.classify(t), f) for t, f in want]
+    clean = [licences.classify(t + a) for t in other for a in after]
+    right = sum(g == f for g, f in got)
+    told = sum(g != "unknown" for g, _ in got) + sum(c != "unknown" for c in clean)
+    assert right / len(got) >= 0.9 and right / told >= 0.95, (right / len(got), right / told, sum(c != "unknown" for c in clean))
 
 
 def test_linear():
