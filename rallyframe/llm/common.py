@@ -45,6 +45,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     finally:
         spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
     made = spark.read.schema(df.schema).parquet(path)
+    made._scratch = path
     if levels := getattr(_OPEN, "levels", None):
         levels[-1][path] = made
     return made
@@ -77,6 +78,12 @@ def scratch(spark: SparkSession):
                 levels[-1][path] = df
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the table behind ``df`` if ``materialise`` wrote it; nothing that is computed later may read it."""
+    if path := getattr(df, "_scratch", None):
+        _delete(df.sparkSession, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)

@@ -557,6 +557,63 @@ def test_pipeline(spark, docs, tmp_path):
     assert [k[0] for k in key(corpus_pipeline.run(spark, str(tmp_path)))] == [k[0] for k in key(stages["packing"])]
 
 
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """All stages again on collected rows: components by sets of five words, windows by comparison, ids by the tokenizer."""
+    from tokenizers import Tokenizer
+
+    t, rng = Tokenizer.from_file(TOKENIZER), random.Random(21)
+    texts = [prose(700 + i, 60 + i % 90, GERMAN if i % 3 == 0 else prose(1, 60).split()) for i in range(120)]
+    for i in range(100, 120):  # near copies, some of them beyond the threshold
+        w = texts[i - 100].split()
+        for _ in range(rng.randrange(0, 4)):
+            w[rng.randrange(len(w))] = "other"
+        texts[i] = " ".join(w)
+    item = " ".join(prose(1, 60).split()[:14])
+    texts[30] += " " + item
+    texts[40] += " mail a.b@c.de or (684) 555-8031"
+    texts += ["日本語の文章はここにあります。" * 6, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz  ") for _ in range(300)), "123 456", None, ""]
+    docs = spark.createDataFrame([(i, x, None if i >= 120 else "de" if i % 3 == 0 else "en", "s", len(x or ""), "c", 1) for i, x in enumerate(texts)], SCHEMA + ", Spans string, __kept int").repartition(3)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(0, item), (1, None)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    model = language_id.train(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    left = {}
+    for i, x in enumerate(texts):
+        lang, score, surprise = model.predict(x)
+        if lang != "und" and score >= language_id.LEAST_SCORE and surprise <= model.most:
+            left[i] = x
+    assert set(range(120)) == set(left)
+    words = {i: folded(x) for i, x in left.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} for i, w in words.items()}
+    root = {i: i for i in sets}
+    for i in sorted(sets):  # components by growing: a later document joins all earlier ones it is alike to
+        alike = {root[j] for j in sets if j < i and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])} | {i}
+        root = {j: min(alike) if r in alike else r for j, r in root.items()}
+    kept = [i for i in sets if root[i] == i]
+    split = lambda x: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x.lower())
+    windows = {tuple(split(item)[k : k + 10]) for k in range(5)}
+    kept = [i for i in kept if not any(tuple(split(left[i])[k : k + 10]) in windows for k in range(len(split(left[i]))))]
+    assert 30 not in kept and 40 in kept and len(kept) < 119
+    finder = pii.Finder(pii.trained())
+    want = {}
+    for i in kept:
+        base, added = finder.find([left[i]])[0]
+        want[i] = [*t.encode(pii.redact_text(left[i], base + added), add_special_tokens=False).ids, 2]
+    got = defaultdict(list)
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got[r.doc_id].append(r)
+    assert set(got) == set(want) and "[EMAIL]" in pii.redact_text(left[40], [*finder.find([left[40]])[0][0], *finder.find([left[40]])[0][1]])
+    for i, pieces in got.items():
+        ids, at = want[i], 0
+        for r in sorted(pieces, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in ids[at : at + r.length]))
+            at += r.length
+        assert at == len(ids)
+    frame = docs
+    for name, stage in corpus_pipeline.STAGES:  # empty tables, and the columns of the input
+        frame = stage(spark, frame.limit(0), str(tmp_path))
+        assert frame.count() == 0 and (name == "packing" or frame.columns == docs.columns)
+
+
 def test_pipeline_stage_compares_five_words(spark):
     rng, rows = random.Random(12), []
     for k in range(12):
