@@ -9,6 +9,7 @@ from .labels import (
     format_range,
     game_outcome,
     link,
+    origin,
     rank_class,
     rank_label,
     result_label,

@@ -95,3 +95,8 @@ def link(base: str, **parameters: Column) -> Column:
     """A url with encoded parameters, in the order given; null parameters are left out."""
     pairs = [F.concat(F.lit(f"{k}="), encode_component(v)) for k, v in parameters.items()]
     return F.concat(F.lit(base + "?"), F.concat_ws("&", *(F.when(v.isNotNull(), p) for v, p in zip(parameters.values(), pairs))))
+
+
+def origin(url: Column) -> Column:
+    """Scheme and host of a url, without what follows; null if it has none."""
+    return F.nullif(F.regexp_extract(url, "^(https?://[^/]+)", 1), F.lit(""))

@@ -23,25 +23,48 @@ def pages(spec: Column, total: Column) -> Column:
     return F.when(F.trim(F.coalesce(spec, F.lit(""))) == "", everything).otherwise(inside)
 
 
+def _page(rows: DataFrame) -> list[str]:
+    """Columns that tell a page: ``page`` (from 0), and ``file`` where rows of several files come together."""
+    return [c for c in ("file", "page") if c in rows.columns]
+
+
+def rendered(pages_: DataFrame, dpi: float = 200) -> DataFrame:
+    """``pages_`` (page from 0, width and height in points) with the image's name, zoom, and width and height in pixels."""
+    zoom = F.lit(dpi) / 72
+    size = lambda c: F.ceil(F.col(c) * zoom).cast("int").alias(f"{c}_px")
+    return pages_.select("*", F.format_string("page-%03d.png", F.col("page").cast("int") + 1).alias("name"), zoom.alias("zoom"), size("width"), size("height"))
+
+
 def ruling_lines(shapes: DataFrame) -> DataFrame:
-    """(page, y): long horizontal lines, and both edges of rectangles, of (page, width, kind, x0, y0, x1, y1)."""
+    """(file if given, page, y): long horizontal lines, and both edges of rectangles, of (page, width, kind, x0, y0, x1, y1)."""
     line = F.when((F.col("kind") == "l") & (F.abs(F.col("y0") - F.col("y1")) < 1) & (F.abs(F.col("x1") - F.col("x0")) > F.col("width") / 2), F.array("y0"))
     edges = line.when(F.col("kind") == "re", F.array("y0", "y1")).otherwise(F.array().cast("array<double>"))
-    return shapes.select("page", F.explode(edges).alias("y"))
+    return shapes.select(*_page(shapes), F.explode(edges).alias("y"))
 
 
-def clusters(points: DataFrame, key: str, value: str, gap: float) -> DataFrame:
-    """(key, cluster, n, mean, low, high): a cluster ends where the next value is more than ``gap`` further."""
-    order = Window.partitionBy(key).orderBy(value)
+def clusters(points: DataFrame, key: str | list[str], value: str, gap: float) -> DataFrame:
+    """(key, cluster, n, mean, low, high): a cluster ends where the next value is more than ``gap`` further.
+
+    The values of one key are sorted in one task, spilling to disk where they must.
+    """
+    keys = [key] if isinstance(key, str) else key
+    order = Window.partitionBy(*keys).orderBy(value)
     new = F.coalesce((F.col(value) - F.lag(value).over(order) > gap).cast("int"), F.lit(0))
-    marked = points.select(key, value, new.alias("new"))
+    marked = points.select(*keys, value, new.alias("new"))
     marked = marked.withColumn("cluster", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(key, "cluster").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    return marked.groupBy(*keys, "cluster").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
 
 
-def strips(lines: DataFrame, least: float, gap: float = 4.0) -> DataFrame:
-    """(page, row, top, bottom): spaces between neighbouring clusters of lines that are ``least`` high, numbered with zeros in names."""
-    order = Window.partitionBy("page").orderBy("mean")
-    rows = clusters(lines, "page", "y", gap).withColumn("bottom", F.lead("mean").over(order)).where(F.col("bottom") - F.col("mean") >= least)
-    at = F.row_number().over(order)
-    return rows.select("page", at.alias("row"), F.format_string("page-%03d-row-%02d.png", F.col("page").cast("int"), at).alias("name"), F.col("mean").alias("top"), "bottom")
+def strips(lines: DataFrame, least: float = 12, gap: float = 4.0, margin: float = 1.0) -> DataFrame:
+    """(file if given, page, row, name, top, bottom, clip_top, clip_bottom): spaces of ``least`` height between neighbouring clusters of lines.
+
+    All spaces of a page are numbered from 0, those that are too low as well; the name counts pages from 1.  The clip reaches
+    ``margin`` beyond both lines.
+    """
+    keys = _page(lines)
+    order = Window.partitionBy(*keys).orderBy("mean")
+    rows = clusters(lines, keys, "y", gap).withColumn("row", F.row_number().over(order) - 1).withColumn("bottom", F.lead("mean").over(order))
+    name = F.format_string("p%03d-row%02d.png", F.col("page").cast("int") + 1, F.col("row"))
+    return rows.where(F.col("bottom") - F.col("mean") >= least).select(
+        *keys, "row", name.alias("name"), F.col("mean").alias("top"), "bottom", (F.col("mean") - margin).alias("clip_top"), (F.col("bottom") + margin).alias("clip_bottom")
+    )

@@ -58,11 +58,11 @@ def with_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def groups_of(schedule: DataFrame, items: DataFrame) -> DataFrame:
-    """(openid, group_pos, id, name, tags): groups of the items, with the head of the first match of each; without items, of the matches.
+    """(openid, group_pos, id, name, tags): groups of the items, with the head of the first match of each, be it empty; without items, of the matches.
 
     ``schedule``: flattened matches; ``items``: openid, pos, GroupID, GroupName.  Tournaments without a schedule give none.
     """
-    heads = schedule.where(truthy(F.col("HeadGroup"))).groupBy("openid", "base_group").agg(F.min_by("HeadGroup", "match_pos").alias("head"))
+    heads = schedule.groupBy("openid", "base_group").agg(F.min_by(nz(F.col("HeadGroup")), "match_pos").alias("head"))
     there = schedule.select("openid").distinct()
     given = items.join(there, "openid", "left_semi").select("openid", "pos", F.col("GroupID").alias("id"), F.col("GroupName").alias("name"))
     named = schedule.where(truthy(F.col("groupName"))).join(items.select("openid").distinct(), "openid", "left_anti").select("openid", F.col("base_group").alias("name")).distinct()

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import base_group, game_outcome, nz, result_label, split_members
+from ..functions import base_group, format_date, game_outcome, nz, result_label, split_members
+from ..functions.names import TEAM
+from . import flatten
 
 SHOWN, PAGE = 60, 150
 COLLATION = "zh_Hant"
@@ -26,22 +28,48 @@ def overview(index: DataFrame) -> DataFrame:
     return index.agg(F.count("*").alias("tournaments"), F.max("dateStart").alias("latest"), F.bool_or(F.col("status") == "ongoing").alias("any_ongoing"))
 
 
-def find_players(players: DataFrame, ranks: DataFrame, query: str, shown: int = SHOWN) -> DataFrame:
-    """Names with the text, in collated order, with their first three units, ranks and tournaments; blank text finds nothing."""
+def _named(rows: DataFrame, column: str, query: str) -> DataFrame:
     q = query.strip()
-    hit = players.where(F.col("name").contains(q) if q else F.lit(False))
+    return rows.where(F.col(column).contains(q) if q else F.lit(False))
+
+
+def players_with(players: DataFrame, ranks: DataFrame, query: str) -> DataFrame:
+    """(name, units, tournaments, ranks) of all names with the text: the first three units by tournament; blank text finds nothing."""
+    hit = _named(players, "name", query)
     first = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("openid", "units"))), lambda x: x["units"])))
     people = hit.groupBy("name").agg(F.array_join(F.slice(first, 1, 3), "、").alias("units"), F.count_distinct("openid").alias("tournaments"))
-    placed = ranks.groupBy("name").agg(F.count("*").alias("ranks"))
-    out = people.join(placed, "name", "left").withColumn("ranks", F.coalesce("ranks", F.lit(0)))
-    return out.orderBy(F.expr(f"name collate {COLLATION}"), "name").limit(shown)
+    placed = _named(ranks, "name", query).groupBy("name").agg(F.count("*").alias("ranks"))
+    return people.join(placed, "name", "left").withColumn("ranks", F.coalesce("ranks", F.lit(0)))
+
+
+def units_with(units: DataFrame, query: str) -> DataFrame:
+    """(unit, tournaments, players) of all units with the text; blank text finds nothing."""
+    hit = _named(units, "unit", query).select("unit", "openid", F.explode_outer("players").alias("p"))
+    return hit.groupBy("unit").agg(F.count_distinct("openid").alias("tournaments"), F.count_distinct("p").alias("players"))
+
+
+def first_shown(found: DataFrame, column: str, shown: int = SHOWN) -> DataFrame:
+    """The first rows in collated order."""
+    return found.orderBy(F.expr(f"{column} collate {COLLATION}"), column).limit(shown)
+
+
+def note(found: DataFrame, shown: int = SHOWN) -> DataFrame:
+    """One row for the heading and the note below a list: how many are found and shown, and whether there are more."""
+    n = found.agg(F.count("*").alias("found"))
+    return n.select("found", F.least("found", F.lit(shown)).cast("bigint").alias("shown"), (F.col("found") > shown).alias("more"))
+
+
+def find_players(players: DataFrame, ranks: DataFrame, query: str, shown: int = SHOWN) -> DataFrame:
+    return first_shown(players_with(players, ranks, query), "name", shown)
 
 
 def find_units(units: DataFrame, query: str, shown: int = SHOWN) -> DataFrame:
-    q = query.strip()
-    hit = units.where(F.col("unit").contains(q) if q else F.lit(False)).select("unit", "openid", F.explode_outer("players").alias("p"))
-    out = hit.groupBy("unit").agg(F.count_distinct("openid").alias("tournaments"), F.count_distinct("p").alias("players"))
-    return out.orderBy(F.expr(f"unit collate {COLLATION}"), "unit").limit(shown)
+    return first_shown(units_with(units, query), "unit", shown)
+
+
+def toggled(selected: list[str], name: str) -> list[str]:
+    """The selected names with ``name`` put in or taken out."""
+    return [x for x in selected if x != name] + [name] * (name not in selected)
 
 
 def _with_dates(rows: DataFrame, index: DataFrame) -> DataFrame:
@@ -63,7 +91,7 @@ def many_units(players: DataFrame) -> DataFrame:
 
 
 def match_log(matches: DataFrame, name: str) -> DataFrame:
-    """Matches of a player: the side of the earliest game with the name (A before B), partners, opponents, and the games' scores."""
+    """Matches of a player: the side of the earliest game with the name (A before B), both units, partners, opponents, and the games' scores."""
     games = F.transform(F.coalesce("scoreinfo", F.array()), lambda g: F.struct(split_members(g["memberA"], "display").alias("A"), split_members(g["memberB"], "display").alias("B"), g["scoreA"].alias("sA"), g["scoreB"].alias("sB")))
     rows = matches.withColumn("games", games)
     first = F.get(F.filter("games", lambda g: F.array_contains(g["A"], name) | F.array_contains(g["B"], name)), 0)
@@ -78,13 +106,36 @@ def match_log(matches: DataFrame, name: str) -> DataFrame:
         return F.struct(nz(a).alias("own"), nz(b).alias("other"), game_outcome(a, b).alias("won"))
 
     return rows.select(
-        "openid", "match_pos", "base_group", "side", result_label(F.col("winner"), F.col("side")).alias("result"),
+        "openid", "match_pos", "base_group", nz(F.col("matchtype")).alias("matchtype"), format_date(F.col("date")).alias("date"), nz(F.col("time")).alias("time"), "side",
+        nz(F.when(F.col("side") == "A", F.col("teamA")).otherwise(F.col("teamB"))).alias("own_unit"), nz(F.when(F.col("side") == "A", F.col("teamB")).otherwise(F.col("teamA"))).alias("other_unit"),
+        (nz(F.col("HeadGroup")) == TEAM).alias("team"), nz(F.col("abstain")).alias("abstain"), result_label(F.col("winner"), F.col("side")).alias("result"),
         F.array_distinct(F.filter(F.flatten(F.transform("mine", own)), lambda x: x != name)).alias("partners"),
         F.array_distinct(F.flatten(F.transform("mine", other))).alias("opponents"),
         F.transform("mine", score).alias("scores"),
     )
 
 
+def player_profile(tables: dict[str, DataFrame], matches: DataFrame, name: str) -> dict[str, DataFrame]:
+    """What the page of a player shows: units (more than one may be different people), ranks, history, and the log of all matches."""
+    own = tables["players"].where(F.col("name") == name)
+    units = own.select(F.explode("units").alias("unit")).distinct().orderBy("unit")
+    return {"units": units, "ranks": player_ranks(tables["ranks"], tables["index"], name), "history": player_history(tables["players"], tables["index"], name), "log": match_log(matches, name)}
+
+
+def tournament_detail(docs: DataFrame, openid: str, group: str | None = None, keyword: str | None = None, shown: int = PAGE) -> dict[str, DataFrame]:
+    """What the page of a tournament shows: panels, documents, standings in order, and matches by group and keyword."""
+    one = docs.where(F.col("openid") == openid)
+    rows = flatten.matches(one)
+    return {
+        "panels": panels(one),
+        "documents": flatten.documents(one).orderBy("document_pos"),
+        "groups": flatten.groups(one).orderBy("group_pos"),
+        "standings": flatten.standings(one).orderBy("group", "rank", "standing_pos"),
+        "matches": filtered_matches(rows, group, keyword, shown),
+        "match_groups": rows.select("base_group").distinct().orderBy("base_group"),
+    }
+
+
 def filtered_matches(matches: DataFrame, group: str | None = None, keyword: str | None = None, shown: int = PAGE) -> DataFrame:
     """One page of matches by base group and keyword in teams or members."""
     if group:
@@ -136,7 +187,6 @@ def group_pages(rows: DataFrame, keys: list[str], order: list[str], page: int, s
 
 
 
-
 def panels(docs: DataFrame) -> DataFrame:
     """What the page of a tournament shows beside its lists."""
     none = F.lit(False)

@@ -68,10 +68,10 @@ def apply_import(stored: DataFrame, entries: DataFrame) -> DataFrame:
     new = built_entries(entries)
     kept = stored.join(new.select("openid", "group").distinct(), ["openid", "group"], "left_anti")
     last = Window.partitionBy("openid").orderBy("group", "rank", "age", "position")
-    both = kept.withColumn("age", F.lit(0)).withColumn("position", F.col("standing_pos").cast("long")).unionByName(
-        new.withColumn("age", F.lit(1)).withColumn("position", F.col("event_pos").cast("long") * 100_000 + F.col("entry_pos")).drop("event_pos", "entry_pos"), allowMissingColumns=True
-    )
-    return both.withColumn("standing_pos", F.row_number().over(last) - 1).drop("age", "position")
+    place = lambda *c: F.struct(*(F.col(x).cast("long").alias(f"p{i}") for i, x in enumerate(c)))
+    kept = kept.withColumn("age", F.lit(0)).withColumn("position", place("standing_pos", "standing_pos"))
+    new = new.withColumn("age", F.lit(1)).withColumn("position", place("event_pos", "entry_pos")).drop("event_pos", "entry_pos")
+    return kept.unionByName(new, allowMissingColumns=True).withColumn("standing_pos", F.row_number().over(last) - 1).drop("age", "position")
 
 
 def missing_targets(docs: DataFrame, entries: DataFrame) -> DataFrame:

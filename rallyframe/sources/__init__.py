@@ -1,6 +1,7 @@
-"""Readers, schemas and sinks of tournament documents."""
+"""Readers, schemas and sinks of tournament documents, and calls of the services they come from."""
 
-from .documents import PayloadSource, binary_pages, landing, read_documents, replace_documents, write_indexes
+from .calls import PayloadSource, Poster, answers, discovered, fetched_files, origin_of
+from .documents import binary_pages, landing, lookup, read_documents, read_stored, replace_documents, write_indexes
 from .schemas import ENTRY, TOURNAMENT
 
-__all__ = ["ENTRY", "TOURNAMENT", "PayloadSource", "binary_pages", "landing", "read_documents", "replace_documents", "write_indexes"]
+__all__ = [n for n in dir() if not n.startswith("_")]

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
 
 from .schemas import TOURNAMENT
 
+#: Folders of stored documents.
+BUCKETS = 64
+
 
 def read_documents(spark: SparkSession, path: str, schema: str = TOURNAMENT) -> DataFrame:
     """One row a document; control characters inside strings are tolerated."""
@@ -19,75 +23,52 @@ def landing(spark: SparkSession, path: str, schema: str = TOURNAMENT) -> DataFra
     return spark.readStream.schema(schema).option("multiLine", True).option("allowUnquotedControlChars", True).json(path)
 
 
-def replace_documents(documents: DataFrame, path: str) -> None:
-    """Writes only the partitions of the given openids; others stay as they are."""
-    documents.write.mode("overwrite").partitionBy("openid").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(path)
-
-
-def write_indexes(tables: dict[str, DataFrame], path: str) -> None:
-    for name, rows in tables.items():
-        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
-
-
-def binary_pages(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
-    """(path, length, content) of binary files; rendering needs a library that is not part of Spark."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", F.col("length"), "content")
-
-
-class _Call(InputPartition):
-    def __init__(self, url: str, payload: str):
-        self.url, self.payload = url, payload
+def _bucket(key: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-class _Reader(DataSourceReader):
-    """A POST for each payload, one partition each, with retries and a pause that grows with each."""
+def read_stored(spark: SparkSession, path: str, schema: str = TOURNAMENT) -> DataFrame:
+    """Documents that ``replace_documents`` wrote; none if nothing is there yet."""
+    try:
+        return spark.read.schema(f"{schema}, bucket int").parquet(path).drop("bucket")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
-    def __init__(self, options: dict):
-        self.url, self.payloads = options["url"], options.get("payloads", "{}").split("\n")
-        self.attempts, self.timeout, self.pause = int(options.get("attempts", 3)), float(options.get("timeout", 30)), float(options.get("pause", 1.5))
-        self.token_url = options.get("tokenUrl")
 
-    def partitions(self):
-        return [_Call(self.url, p) for p in self.payloads]
+def lookup(spark: SparkSession, path: str, openid: str, schema: str = TOURNAMENT, buckets: int = BUCKETS) -> DataFrame:
+    """The stored document of an openid, or no row; only its bucket is read."""
+    try:
+        rows = spark.read.schema(f"{schema}, bucket int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    return rows.where((F.col("bucket") == _bucket(F.lit(openid), buckets)) & (F.col("openid") == openid)).drop("bucket")
 
-    def _post(self, url: str, payload: str) -> str:
-        import time
-        import urllib.request
 
-        for attempt in range(1, self.attempts + 1):
-            try:
-                request = urllib.request.Request(url, payload.encode(), {"Content-Type": "application/json"})
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    return answer.read().decode("utf-8")
-            except OSError:
-                if attempt == self.attempts:
-                    raise
-                time.sleep(self.pause * attempt)
-        raise AssertionError
+def replace_documents(documents: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Writes documents over those with the same openid; others stay as they are.
 
-    def read(self, partition):
-        import json
+    Documents lie in ``buckets`` folders by the hash of openid, always as many for one path.  Only the folders that get a document
+    are written, with what they held before; a repeated call changes nothing.
+    """
+    spark = documents.sparkSession
+    new = documents.withColumn("bucket", _bucket(F.col("openid"), buckets))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in documents.schema)
+    stored = read_stored(spark, path, schema).withColumn("bucket", _bucket(F.col("openid"), buckets))
+    touched = new.select("bucket").distinct()  # buckets rows at most
+    kept = stored.join(F.broadcast(touched), "bucket", "left_semi").join(new.select("openid"), "openid", "left_anti")
+    both = new.unionByName(kept).repartition("bucket")
+    both.write.mode("overwrite").partitionBy("bucket").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(path)
 
-        payload = partition.payload
-        for again in (True, False):
-            if self.token_url:
-                token = json.loads(self._post(self.token_url, "{}"), strict=False).get("token", "")
-                payload = json.dumps(json.loads(partition.payload) | {"token": token}, ensure_ascii=False)
-            answer = self._post(partition.url, payload)
-            if not (again and self.token_url and json.loads(answer, strict=False).get("message") in ("Time out.", "no token.")):
-                break
-        yield partition.payload, answer
 
+def write_indexes(tables: dict[str, DataFrame], path: str) -> None:
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
 
-class PayloadSource(DataSource):
-    """``spark.read.format("rally_api").option("url", ...).option("payloads", ...)``: (payload, answer), to be landed as they are."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "rally_api"
-
-    def schema(self) -> str:
-        return "payload string, answer string"
 
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options)
+def binary_pages(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
+    """(path, length, content) of binary files; rendering needs a library that is not part of Spark."""
+    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", F.col("length"), "content")
