@@ -363,3 +363,6 @@ def event_windows(spark, sf_dir):
     """The streaming window count, run as a batch; an addition to the reference's operators."""
     e = _t(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     return landing.event_counts(e).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n")
+
+
+from . import documents  # noqa: E402, F401  (its queries are added to the catalogue)
