@@ -138,8 +138,7 @@ def _family(line: Column) -> Column:
     return _bound(tokens, lambda have: _bound(slots_of(have), lambda at: _bound(F.array_distinct(have), lambda own: chosen(at, own))))
 
 
-def _marked(text: Column) -> Column:
-    low = F.lower(text)
+def _marked(low: Column) -> Column:
     any_ = low.contains(SHORT) & low.rlike(f"(^|[^a-z0-9]){SHORT}($|[^a-z0-9])")
     for mark in MARKS:
         any_ = any_ | low.contains(mark)
@@ -162,8 +161,10 @@ def scan(docs: DataFrame) -> DataFrame:
     paragraph.  Empty table: no rows.  Other columns may have any names.
     """
     text = F.coalesce(column(docs, "text"), F.lit(""))
-    rows = docs.select(column(docs, "doc_id").alias("doc_id"), paragraphs(text).alias("each"))
-    rows = rows.select("doc_id", F.size("each").cast("long").alias("n_paragraphs"), F.filter("each", _marked).alias("candidates"))
+    rows = docs.select(column(docs, "doc_id").alias("doc_id"), paragraphs(text).alias("each"), _marked(F.lower(text)).alias("any"))
+    # a text without marks has no paragraph with one
+    candidates = F.when(F.col("any"), F.filter("each", lambda x: _bound(F.lower(x), _marked))).otherwise(F.array().cast("array<string>"))
+    rows = rows.select("doc_id", F.size("each").cast("long").alias("n_paragraphs"), candidates.alias("candidates"))
     rows = rows.select("doc_id", "n_paragraphs", F.size("candidates").cast("long").alias("n_candidates"), F.transform("candidates", _family).alias("found"))
     confirmed = F.filter("found", lambda x: x != UNKNOWN)
     return rows.select("doc_id", "n_paragraphs", "n_candidates", F.size(confirmed).cast("long").alias("n_confirmed"), F.array_join(F.array_sort(F.array_distinct(confirmed)), ",").alias("families"))
