@@ -19,23 +19,19 @@ PART = 1 << 24
 
 
 def turns(conversations: DataFrame) -> DataFrame:
-    """Distinct (conv_id, turn, role, text); null roles and texts are empty, a null turn is -1; null conv_ids take no part."""
+    """(conv_id, turn, role, text), repeats included; null roles and texts are empty, a null turn is -1; null conv_ids take no part."""
     c = conversations
-    return (
-        c.select(
-            column(c, "conv_id").alias("conv_id"),
-            F.coalesce(column(c, "turn").cast("long"), F.lit(-1)).alias("turn"),
-            F.coalesce(column(c, "role"), F.lit("")).alias("role"),
-            F.coalesce(column(c, "text"), F.lit("")).alias("text"),
-        )
-        .where("conv_id is not null")
-        .distinct()
-    )
+    return c.select(
+        column(c, "conv_id").alias("conv_id"),
+        F.coalesce(column(c, "turn").cast("long"), F.lit(-1)).alias("turn"),
+        F.coalesce(column(c, "role"), F.lit("")).alias("role"),
+        F.coalesce(column(c, "text"), F.lit("")).alias("text"),
+    ).where("conv_id is not null")
 
 
 def prefixes(steps: DataFrame) -> DataFrame:
-    """(conv_id, turn, p1, p2, whole): the hashes of each prefix, and whether it is all of the conversation."""
-    hashed = steps.select("conv_id", "turn", *(F.xxhash64(F.lit(k), "turn", "role", "text").alias(f"h{k}") for k in (1, 2)))
+    """(conv_id, turn, p1, p2, whole): the hashes of each prefix, and whether it is all of the conversation; no texts travel."""
+    hashed = steps.select("conv_id", "turn", *(F.xxhash64(F.lit(k), "turn", "role", "text").alias(f"h{k}") for k in (1, 2))).distinct()
     # turns with one number are one step
     hashed = hashed.groupBy("conv_id", "turn").agg(F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2")).withColumn("block", F.floor(F.col("turn") / SPAN))
     blocks = hashed.groupBy("conv_id", "block").agg(F.bit_xor("h1").alias("b1"), F.bit_xor("h2").alias("b2"))
@@ -84,7 +80,7 @@ def render(conversations: DataFrame) -> DataFrame:
     """
     steps = turns(conversations)
     line = F.concat(F.lit("<|"), "role", F.lit("|>\n"), "text", F.lit("<|end|>\n"))
-    kept = _begins(steps.join(maximal(steps), "conv_id").withColumn("line", line))
+    kept = _begins(steps.join(maximal(steps), "conv_id").distinct().withColumn("line", line))
     return (
         kept.groupBy("conv_id", "part", "copies")
         .agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text", "line"))).alias("x"))
