@@ -129,6 +129,26 @@ def slices(texts: list, limit: int = SLICE_BYTES):
         yield start, len(texts)
 
 
+def tidy(run: Callable) -> Callable:
+    """A map over batches that gives unused memory back to the system at its end: Python workers live on and wait for other tasks."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError, TypeError):
+                pass  # not the C library that has it
+
+    return tidied
+
+
 def map_texts(df: DataFrame, make: Callable, fields: list[T.StructField], keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep`` of ``df`` and ``fields``, which a function computes from whole texts.
 
@@ -151,7 +171,7 @@ def map_texts(df: DataFrame, make: Callable, fields: list[T.StructField], keep:
                 yield pa.RecordBatch.from_arrays([*own, *made], names=names)
 
     columns = [column(df, c) for c in keep]
-    return df.select(*columns, column(df, text).cast("binary").alias(free(df, "__text"))).mapInArrow(run, schema)
+    return df.select(*columns, column(df, text).cast("binary").alias(free(df, "__text"))).mapInArrow(tidy(run), schema)
 
 
 def runs(batches, key: int):

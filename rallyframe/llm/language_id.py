@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, free, map_texts, materialise, scratch, share
+from .common import column, free, map_texts, materialise, scratch, share, tidy
 
 BITS = 15
 ORDERS = (1, 2, 3)
@@ -162,7 +162,7 @@ def _document_frequencies(learnable: DataFrame) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), type=pa.int64()), pa.array(np.append(seen[at], n), type=pa.int64())], names=["slot", "n"])
 
-    rows = learnable.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = learnable.select("text").mapInArrow(tidy(run), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     frequency, documents = np.zeros(1 << BITS), 0
     for slot, n in zip(rows["slot"].to_pylist(), rows["n"].to_pylist()):
         if slot < 0:
@@ -216,7 +216,7 @@ def _features(sample: DataFrame, few: bool):
                     names=["lang", "h", "aside", "plain", "slots", "tf"],
                 )
 
-    return sample.select("lang", "h", "text").mapInArrow(run, "lang string, h long, aside boolean, plain boolean, slots binary, tf binary")
+    return sample.select("lang", "h", "text").mapInArrow(tidy(run), "lang string, h long, aside boolean, plain boolean, slots binary, tf binary")
 
 
 def _chunks(features: DataFrame):
@@ -323,7 +323,7 @@ def _likelihoods(sample: DataFrame, model: Model, place: dict[str, int]) -> list
             total, squares, n = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array([place[x] for x in batch.column(0).to_pylist()], type=pa.int32()), pa.array(total, type=pa.float64()), pa.array(squares, type=pa.float64()), pa.array(n, type=pa.int64())], names=["language", "total", "squares", "n"])
 
-    found = rows.select("lang", "text").mapInArrow(run, "language int, total double, squares double, n long").toArrow()
+    found = rows.select("lang", "text").mapInArrow(tidy(run), "language int, total double, squares double, n long").toArrow()
     return sorted(zip(*(found[c].to_pylist() for c in found.column_names)))
 
 

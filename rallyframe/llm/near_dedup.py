@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, column, map_texts, materialise, passes, runs, scratch, slices
+from .common import bit_filter, column, map_texts, materialise, passes, runs, scratch, slices, tidy
 from .components import connected, stars
 
 SHINGLE, SIMILAR = 2, 80
@@ -232,7 +232,7 @@ def _finished(trees: DataFrame, regions: DataFrame, groups: DataFrame, threshold
     own = members.where("comp <> main").select(*key, outside.alias("outside"), each("blocks").alias("block"), F.lit(True).alias("out"), *rest)
     others = members.select(*key, each("outsides").alias("outside"), block.alias("block"), F.lit(False).alias("out"), *rest)
     order = [*key, "outside", "block"]
-    found = own.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_across(threshold), "a long, b long")
+    found = own.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_across(threshold)), "a long, b long")
     return connected(groups.union(found))
 
 
@@ -242,7 +242,7 @@ def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
         trees = classes.select("rep", "n", "signature").mapInArrow(_trees, "tree int, label binary, rep long, n long, sketch binary")
         parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         order = ["tree", "label", "rep"]
-        found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_scan(threshold, True), _PAIR_SCHEMA), "neighbours")
+        found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_scan(threshold, True)), _PAIR_SCHEMA), "neighbours")
         bounds = found.where("rep is not null").select("tree", "label", "rep", "n", "sketch").repartition(TREES, "tree").sortWithinPartitions(*order)
         found = found.where("rep is null").union(materialise(bounds.mapInArrow(_scan(threshold, False), _PAIR_SCHEMA), "joints"))
         groups = connected(found.where("a is not null").select("a", "b"))
@@ -279,7 +279,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(ids, type=pa.int64()), pa.array(digests, type=pa.binary()), pa.array(sets, type=pa.binary())], names=["doc_id", "d", "words"])
 
     source = docs.select(column(docs, "doc_id").cast("long").alias("doc_id"), column(docs, "text").cast("binary").alias("text")).where("doc_id is not null")
-    return source.mapInArrow(run, "doc_id long, d binary, words binary")
+    return source.mapInArrow(tidy(run), "doc_id long, d binary, words binary")
 
 
 def _links(sets: list[np.ndarray], threshold: int, first: int | None = None) -> np.ndarray:
@@ -374,7 +374,7 @@ def _loose_connected(large: DataFrame, edges: DataFrame, threshold: int, parts:
         asked = materialise(loose.select("comp", "loose_block").distinct(), "asked")
         others = large.join(F.broadcast(asked), "comp").select("comp", "loose_block", "block", "node", F.lit(False).alias("loose"), "words")
         order = ["comp", "loose_block", "block"]
-        found = loose.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare_loose(threshold), "a long, b long")
+        found = loose.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_compare_loose(threshold)), "a long, b long")
         edges = connected(edges.union(found))
     return edges
 
@@ -392,7 +392,7 @@ def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
     schema = "a long, b long, comp long, degree long"
 
     def compare(rows):
-        return rows.select("comp", "block", "node", "words").repartition(parts, "comp", "block").sortWithinPartitions("comp", "block").mapInArrow(_compare(threshold), schema)
+        return rows.select("comp", "block", "node", "words").repartition(parts, "comp", "block").sortWithinPartitions("comp", "block").mapInArrow(tidy(_compare(threshold)), schema)
 
     linked = materialise(compare(sets), "linked")
     edges = linked.where("a <> b").select("a", "b")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, map_texts, materialise
+from .common import column, map_texts, materialise, tidy
 
 LENGTH = 4096
 END_ID = 2
@@ -26,7 +26,7 @@ BROADCAST_PARTITIONS = 500_000
 #: Partitions summed in one group of the prefix sum.
 GROUP = 1024
 #: Distinct pieces that a task remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 
 #: For lower-cased texts of these characters alone the tokenizer's splitting is this pattern: elisions, runs of letters,
 #: single digits, runs of others.  Any other text goes to the tokenizer whole.
@@ -211,4 +211,4 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END_I
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, type=pa.int64())), *arrays], names=schema.names)
 
     placed = tokens.join(bases, "part").select("doc_id", "ids", "n", "width", (F.col("base") + F.col("start_in_part")).alias("at"))
-    return placed.mapInArrow(cut, schema)
+    return placed.mapInArrow(tidy(cut), schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bit_filter, column, materialise, passes, scratch, slices
+from .common import bit_filter, column, materialise, passes, slices, tidy
 
 WINDOW, GRAM = 20, 6
 #: Slots of the bit set of minimisers that occur again.  Beyond some 10^8 of them it fills up, and more text travels, with equal results.
@@ -121,7 +121,7 @@ def _minimisers(texts: DataFrame) -> DataFrame:
                 value, n = np.unique(np.concatenate(got) if got else np.zeros(0, np.uint64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(n.astype(np.int64))], names=["m", "n"])
 
-    return texts.mapInArrow(run, "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidy(run), "m long, n long").groupBy("m").agg(F.sum("n").alias("n"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -232,9 +232,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         b, e = _stretches(later, np.concatenate(([False], run[1:] == run[:-1])))
         yield pa.RecordBatch.from_arrays([pa.array(doc_id[run[b]]), pa.array(h[run[b]]), pa.array(s[b].astype(np.int32)), pa.array((e - b + WINDOW - 1).astype(np.int32))], names=["doc_id", "h", "start", "size"])
 
-    sent = source.mapInArrow(send, schema)
+    sent = source.mapInArrow(tidy(send), schema)
     n = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return sent.repartition(n, "m").sortWithinPartitions("m").mapInArrow(bucket, "doc_id long, h long, start int, size int")
+    return sent.repartition(n, "m").sortWithinPartitions("m").mapInArrow(tidy(bucket), "doc_id long, h long, start int, size int")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -277,7 +277,7 @@ def dedup(docs: DataFrame) -> DataFrame:
                 digest.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, type=pa.int64()), pa.array(removed, type=pa.int64()), pa.array(digest)], names=schema.names)
 
-    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "starts", "sizes").mapInArrow(run, schema)
+    return joined.select("doc_id", F.col("text").cast("binary").alias("text"), "starts", "sizes").mapInArrow(tidy(run), schema)
 
 
 ORACLE = r"""
