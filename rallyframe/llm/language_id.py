@@ -36,7 +36,7 @@ CALIBRATE, FEW = 5, 50
 UNKNOWN = "und"
 #: The pipeline rejects documents below this calibrated probability, those without letters, and those whose likelihood is this many
 #: deviations below the usual one (or twice as many as 1 in 100 documents kept aside, if that is more).
-LEAST_SCORE, MOST_SURPRISE = 0.3, 6.0
+LEAST_SCORE, MOST_SURPRISE = 0.3, 8.0
 #: Share of the likelihood that all n-grams have in common, and the least deviation between documents of one language.
 COMMON, LEAST_DEVIATION = 0.1, 0.25
 
