@@ -126,15 +126,15 @@ class Model:
         below = np.sort(-off / np.sqrt(self.between + self.within * len(ORDERS) / n))
         self.most = max(MOST_SURPRISE, 2 * float(below[int(0.99 * (len(below) - 1))]))
 
-    def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, calibrated probability and surprise."""
+    def predict(self, text: str | None, surprise: bool = True) -> tuple[str, float, float]:
+        """Language, calibrated probability and, if asked for, surprise."""
         if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, 0.0
         found = list(_blocks(text))
         z = self.raw(found) / self.temperature
         p = np.exp(z - z.max())
         best = int(np.argmax(p))
-        return self.languages[best], float(p[best] / p.sum()), self.surprise(found, best)
+        return self.languages[best], float(p[best] / p.sum()), self.surprise(found, best) if surprise else 0.0
 
 
 #: TF of n-grams is small; this brings features to order one.
@@ -340,7 +340,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, ..
         own = shared()
 
         def run(texts):
-            got = [own.predict(t.decode("utf-8", "replace") if t else None) for t in texts]
+            got = [own.predict(t.decode("utf-8", "replace") if t else None, len(fields) > 2) for t in texts]
             return [[g[i] for g in got] for i in range(len(fields))]
 
         return run
