@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import chat, decontaminate, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, url_filter
+from . import chat, decontaminate, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, time_encoding, url_filter
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
@@ -51,6 +51,10 @@ def op10_substrings(spark, sf_dir):
     return substring_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings)}
+def op11_time_encoding(spark, sf_dir):
+    return time_encoding.encode(*(table(spark, sf_dir, name) for name in ("sale_lines", "sales", "items", "vendors", "clients")))
 
-ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings, op11_time_encoding)}
+
+ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE, "op11_time_encoding": time_encoding.ORACLE}
