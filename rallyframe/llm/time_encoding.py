@@ -4,28 +4,34 @@ How often lines with the same item, vendor or client were returned before, count
 earlier sales only, so that a model which trains on the rates never sees its own target or the future.
 
 1. Time is cut into halves again and again.  A key with many events has a leaf of the tree for about every ``LEAF`` of them;
-   a leaf holds at most ``FOLDS << TICKS`` rows, as events of a key, fold and instant are summed up before.
+   a leaf holds at most ``FOLDS << TICKS`` of them, as events of a key, fold and instant are summed up before.
 2. History is summed up for each key, fold and node.  The time before a leaf is the union of the left siblings on its way to the
    root, at most one a level: each leaf is exploded into these nodes and joined with their sums.
-3. Those sums enter the leaf as rows before its first instant.  A window over the leaf adds what is earlier inside it.  All
-   folds less the own one give the counts.
+3. Those sums enter the leaf as rows before its first instant.  Running sums over the sorted leaf add what is earlier inside it.
+   All folds less the own one give the counts.
 
-Work is in proportion to events, and to leaves times levels.  A key with a third of all rows has many leaves, each a window of
-its own, so no task or broadcast gets more than a leaf or what Spark's own size check lets pass.
+Work is in proportion to events, and to leaves times levels.  A key with a third of all rows has many leaves, which are dealt
+to tasks one by one, so no task or broadcast gets more than a leaf or what Spark's own size check lets pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import materialise, scratch
+from .common import materialise
 
 FOLDS = 5
 #: A rate is a share in millionths; the prior counts as much as ``WEIGHT`` lines.
 MILLION, WEIGHT, PRIOR = 1_000_000, 50, 500_000
 #: Events of a key for which one leaf is enough, and bits of ticks that a leaf of a key with very many has at most.
-LEAF, TICKS = 256, 12
+LEAF, TICKS = 1024, 12
+#: Stands for a null vendor.
+NO_VENDOR = -(1 << 63)
 
 _EPOCH = "1970-01-01"
 
@@ -46,27 +52,66 @@ def rate(n: Column, s: Column, prior: Column) -> Column:
     return F.when(n < 1, prior).otherwise(F.call_function("div", MILLION * s + WEIGHT * prior, n + WEIGHT))
 
 
-def _same(left: DataFrame, right: DataFrame, nullable: list[str], plain: list[str], how: str = "inner") -> DataFrame:
-    """Join by equal columns, of which ``nullable`` ones may be null on both sides."""
-    names = {c: f"__{c}" for c in (*nullable, *plain)}
-    right = right.withColumnsRenamed(names)
-    on = [F.col(c).eqNullSafe(F.col(names[c])) for c in nullable] + [F.col(c) == F.col(names[c]) for c in plain]
-    return left.join(right, on, how).drop(*names.values())
+def _changes(column: pa.Array) -> np.ndarray:
+    """Whether a value differs from the one before; the first one does."""
+    changed = pc.not_equal(column.slice(1), column.slice(0, len(column) - 1))
+    return np.concatenate(([True], np.asarray(changed.to_numpy(zero_copy_only=False), bool)))
+
+
+def _earlier(folds: int):
+    """past_n and past_s within leaves: of rows (key, leaf, t, fold, n, s, own, others) sorted by the first three."""
+
+    def sums(rows: pa.RecordBatch) -> pa.RecordBatch:
+        leaf = _changes(rows.column(0)) | _changes(rows.column(1))
+        instant = leaf | _changes(rows.column(2))
+        at = np.arange(len(rows))
+        leaf_start = np.maximum.accumulate(np.where(leaf, at, 0))
+        start = np.maximum.accumulate(np.where(instant, at, 0))
+        fold = rows.column(3).to_numpy()
+        out = []
+        for name in (4, 5):
+            value = rows.column(name).to_numpy()
+            # sums of all before each row: of every fold, and last of all folds
+            before = np.zeros((folds + 1, len(rows) + 1), np.int64)
+            for k in range(folds):
+                np.cumsum(np.where(fold == k, value, 0), out=before[k, 1:])
+            np.cumsum(value, out=before[folds, 1:])
+            within = lambda k: before[k, start] - before[k, leaf_start]  # noqa: E731, B023
+            out.append(pa.array(within(folds) - within(fold)))
+        names = [*rows.schema.names[:1], "t", "fold", *rows.schema.names[7:], "past_n", "past_s"]
+        made = [rows.column(0), rows.column(2), rows.column(3), *rows.columns[7:], *out]
+        return pa.RecordBatch.from_arrays(made, names=names).filter(rows.column(6))
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            # the last leaf may go on in the next batch
+            cut = int(np.flatnonzero(_changes(rows.column(0)) | _changes(rows.column(1)))[-1])
+            held = rows.slice(cut)
+            if cut:
+                yield sums(rows.slice(0, cut))
+        if held is not None:
+            yield sums(held)
+
+    return run
 
 
 def past(events: DataFrame, key: str, bits: int, folds: int = FOLDS) -> DataFrame:
     """``events`` (``key``, t, fold, n, s and others; unique by the first three) with past_n and past_s instead of n and s.
 
-    ``t`` is a whole number of at most ``bits`` bits.  past_n and past_s are the sums of n and s over events of the same key (null
-    is a key), of other folds and with a smaller t; 0 where there are none.  An empty table gives an empty one.
+    ``t`` is a whole number of at most ``bits`` bits; keys are not null.  past_n and past_s are the sums of n and s over events of
+    the same key, of other folds and with a smaller t; 0 where there are none.  An empty table gives an empty one.
     """
     count = F.col("count")
     # a key of c events is cut log2(c / LEAF) times
     low = bits - F.ceil(F.log2(count / LEAF)).cast("int")
     low = F.greatest(F.lit(0), F.when(count > folds << TICKS, F.least(low, F.lit(TICKS))).otherwise(low))
     deep = materialise(events.groupBy(key).count().where(count > LEAF).select(key, low.alias("low")), "deep")
-    leaf = F.expr("shiftright(t, low)")
-    cut = _same(events, deep, [key], []).select(key, leaf.alias("leaf"), "low", "fold", "n", "s")
+    leaf = F.expr("shiftright(t, low)").alias("leaf")
+    cut = events.join(deep, key).select(key, leaf, "low", "fold", "n", "s")
     leaves = materialise(cut.groupBy(key, "leaf", "low", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s")), "leaves")
     # left siblings are the only nodes that are asked for
     climb = F.explode(F.sequence(F.lit(0), bits - F.col("low") - 1)).alias("up")
@@ -74,16 +119,15 @@ def past(events: DataFrame, key: str, bits: int, folds: int = FOLDS) -> DataFram
     nodes = nodes.groupBy(key, "up", F.expr("shiftright(leaf, up)").alias("node"), "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
     asked = leaves.select(key, "leaf", "low").distinct().select(key, "leaf", climb).where("shiftright(leaf, up) % 2 = 1")
     asked = asked.withColumn("node", F.expr("shiftright(leaf, up) - 1"))
-    before = _same(asked, nodes, [key], ["up", "node"]).groupBy(key, "leaf", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    own = _same(events, deep, [key], [], "left").withColumn("low", F.coalesce("low", F.lit(bits)))
-    own = own.withColumn("leaf", leaf).drop("low").withColumn("own", F.lit(True))
-    before = before.select(key, "leaf", "fold", "n", "s", F.lit(-1).cast("long").alias("t"), F.lit(False).alias("own"))
-    earlier = Window.partitionBy(key, "leaf").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    of = lambda c, k: F.coalesce(F.sum(F.when(F.col("fold") == k, F.col(c))).over(earlier), F.lit(0))
-    names = {f"__{c}{k}": of(c, k) for c in "ns" for k in range(folds)}
-    rows = own.unionByName(before, allowMissingColumns=True).withColumns(names).where("own")
-    others = {f"past_{c}": sum((F.when(F.col("fold") != k, F.col(f"__{c}{k}")).otherwise(0) for k in range(folds)), F.lit(0).cast("long")) for c in "ns"}
-    return rows.withColumns(others).drop("own", "leaf", "n", "s", *names)
+    before = asked.join(nodes, [key, "up", "node"]).groupBy(key, "leaf", "fold").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    others = [c for c in events.columns if c not in (key, "t", "fold", "n", "s")]
+    own = events.join(deep, key, "left").withColumn("low", F.coalesce("low", F.lit(bits)))
+    own = own.select(key, leaf, "t", "fold", "n", "s", F.lit(True).alias("own"), *others)
+    before = before.select(key, "leaf", F.lit(-1).cast("long").alias("t"), "fold", "n", "s", F.lit(False).alias("own"))
+    rows = own.unionByName(before, allowMissingColumns=True)
+    fields = [*(events.schema[c] for c in (key, "t", "fold", *others)), *(T.StructField(c, T.LongType()) for c in ("past_n", "past_s"))]
+    parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, key, "leaf").sortWithinPartitions(key, "leaf", "t").mapInArrow(_earlier(folds), T.StructType(fields))
 
 
 def _known(table: DataFrame, identity: str, value: str) -> DataFrame:
@@ -94,53 +138,56 @@ def _known(table: DataFrame, identity: str, value: str) -> DataFrame:
 def encode(lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: DataFrame, clients: DataFrame, flag: str = "returned") -> DataFrame:
     """Per sale, item and vendor: its lines, those with ``flag``, and count and rate of the history of item, vendor and client.
 
-    Lines without a sale or time are left out.  Null items and clients are the id -1; a null vendor is a vendor of its own.  Null
+    Lines without a sale or time are left out.  Null items and clients are the id -1; a null vendor is the vendor -2^63, and null in the
+    result.  Null
     flags are not ``flag``.  Null and unknown kinds, nations and segments are one value each; of a repeated id the smallest
     value counts.  Lines may repeat.  A repeated sale_id is several sales of one fold, with a row for each.  Equal times are not
-    history of each other.  Empty tables give an empty result; other columns are not looked at.
+    history of each other.  Empty tables give an empty result; other columns are not looked at.  Tables that the result reads stay,
+    unless the caller opens a ``scratch`` scope.
     """
-    with scratch(lines.sparkSession) as keep:
-        sums = [F.sum("n").alias("n"), F.sum("s").alias("s")]
-        mine = lines.select(
-            F.col("sale_id").cast("long").alias("sale_id"),
-            F.coalesce(F.col("item_id").cast("long"), F.lit(-1).cast("long")).alias("item_id"),
-            F.col("vendor_id").cast("long").alias("vendor_id"),
-            F.coalesce(F.col("flag") == flag, F.lit(False)).cast("long").alias("s"),
-        ).where("sale_id is not null")
-        mine = mine.groupBy("sale_id", "item_id", "vendor_id").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
-        sold = sales.where("sold_at is not null and sale_id is not null").select(
-            F.col("sale_id").cast("long").alias("sale_id"),
-            F.coalesce(F.col("client_id").cast("long"), F.lit(-1).cast("long")).alias("client_id"),
-            micros(F.col("sold_at")).alias("t"),
-            fold_of(F.col("sale_id")).alias("fold"),
-        )
-        base = keep(materialise(mine.join(sold, "sale_id"), "lines"))
-        first, last, second, milli = base.agg(F.min("t"), F.max("t"), F.max(F.expr("t % 1000000 <> 0")), F.max(F.expr("t % 1000 <> 0"))).first()
-        tick = 1 if milli else 1000 if second else 1_000_000
-        bits = max(1, (((last or 0) - (first or 0)) // tick).bit_length())
-        base = base.withColumn("t", F.expr(f"(t - {first or 0}L) div {tick}L"))
-
-        def of(identity: str, known: DataFrame, value: str) -> DataFrame:
-            events = base.groupBy(identity, "t", "fold").agg(*sums)
-            known = _known(known, identity, value)
-            return materialise(events.join(known, identity, "left"), identity)
-
-        by_item, by_vendor, by_client = of("item_id", items, "kind"), of("vendor_id", vendors, "nation_id"), of("client_id", clients, "segment")
-        overall = past(by_client.groupBy(F.lit(0).alias("one"), "t", "fold").agg(*sums), "one", bits)
-        overall = materialise(overall.select("t", "fold", rate(F.col("past_n"), F.col("past_s"), F.lit(PRIOR).cast("long")).alias("prior")), "overall")
-
-        def encoded(events: DataFrame, identity: str, value: str, name: str) -> DataFrame:
-            group = past(events.groupBy(value, "t", "fold").agg(*sums), value, bits).join(overall, ["t", "fold"])
-            group = group.select(value, "t", "fold", rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias("prior"))
-            each = _same(past(events, identity, bits), group, [value], ["t", "fold"])
-            out = each.select(identity, "t", "fold", F.col("past_n").alias(f"{name}_n"), rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias(f"{name}_rate"))
-            return keep(materialise(out, name))
-
-        found = base
-        for events, identity, value in ((by_item, "item_id", "kind"), (by_vendor, "vendor_id", "nation_id"), (by_client, "client_id", "segment")):
-            found = _same(found, encoded(events, identity, value, identity.removesuffix("_id")), [identity], ["t", "fold"])
+    sums = [F.sum("n").alias("n"), F.sum("s").alias("s")]
+    mine = lines.select(
+        F.col("sale_id").cast("long").alias("sale_id"),
+        F.coalesce(F.col("item_id").cast("long"), F.lit(-1).cast("long")).alias("item_id"),
+        F.coalesce(F.col("vendor_id").cast("long"), F.lit(NO_VENDOR)).alias("vendor_id"),
+        F.coalesce(F.col("flag") == flag, F.lit(False)).cast("long").alias("s"),
+    ).where("sale_id is not null")
+    mine = mine.groupBy("sale_id", "item_id", "vendor_id").agg(F.count("*").alias("n"), F.sum("s").alias("s"))
+    sold = sales.where("sold_at is not null and sale_id is not null").select(
+        F.col("sale_id").cast("long").alias("sale_id"),
+        F.coalesce(F.col("client_id").cast("long"), F.lit(-1).cast("long")).alias("client_id"),
+        micros(F.col("sold_at")).alias("t"),
+        fold_of(F.col("sale_id")).alias("fold"),
+    )
+    base = materialise(mine.join(sold, "sale_id"), "lines")
+    first, last, second, milli = base.agg(F.min("t"), F.max("t"), F.max(F.expr("t % 1000000 <> 0")), F.max(F.expr("t % 1000 <> 0"))).first()
+    tick = 1 if milli else 1000 if second else 1_000_000
+    bits = max(1, (((last or 0) - (first or 0)) // tick).bit_length())
+    base = base.withColumn("t", F.expr(f"(t - {first or 0}L) div {tick}L"))
+
+    def of(identity: str, known: DataFrame, value: str) -> DataFrame:
+        events = base.groupBy(identity, "t", "fold").agg(*sums)
+        known = _known(known, identity, value)
+        shared = F.coalesce(F.concat(F.lit("="), F.col(value).cast("string")), F.lit("")).alias(value)
+        return materialise(events.join(known, identity, "left").select(identity, "t", "fold", "n", "s", shared), identity)
+
+    def encoded(events: DataFrame, identity: str, value: str, name: str) -> DataFrame:
+        groups = materialise(events.groupBy(value, "t", "fold").agg(*sums), value)
+        groups = past(groups, value, bits).join(overall, ["t", "fold"])
+        groups = groups.select(value, "t", "fold", rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias("prior"))
+        each = past(events, identity, bits).join(groups, ["t", "fold", value])
+        return each.select(identity, "t", "fold", F.col("past_n").alias(f"{name}_n"), rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias(f"{name}_rate"))
+
+    by_item, by_vendor, by_client = of("item_id", items, "kind"), of("vendor_id", vendors, "nation_id"), of("client_id", clients, "segment")
+    everything = materialise(by_client.groupBy(F.lit(0).alias("one"), "t", "fold").agg(*sums), "everything")
+    overall = past(everything, "one", bits)
+    overall = materialise(overall.select("t", "fold", rate(F.col("past_n"), F.col("past_s"), F.lit(PRIOR).cast("long")).alias("prior")), "overall")
+    found = base
+    for events, identity, value in ((by_item, "item_id", "kind"), (by_vendor, "vendor_id", "nation_id"), (by_client, "client_id", "segment")):
+        found = found.join(encoded(events, identity, value, identity.removesuffix("_id")), ["t", "fold", identity])
     names = [f"{x}_{y}" for x in ("item", "vendor", "client") for y in ("n", "rate")]
-    return found.select("sale_id", "item_id", "vendor_id", F.col("n").alias("n_lines"), F.col("s").alias("n_returned"), *names)
+    vendor = F.nullif(F.col("vendor_id"), F.lit(NO_VENDOR)).alias("vendor_id")
+    return found.select("sale_id", "item_id", vendor, F.col("n").alias("n_lines"), F.col("s").alias("n_returned"), *names)
 
 
 def _history(key: str) -> str:
