@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import chat, decontaminate, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, time_encoding, url_filter
+from . import chat, decontaminate, hard_negatives, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, time_encoding, url_filter
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
@@ -55,6 +55,10 @@ def op11_time_encoding(spark, sf_dir):
     return time_encoding.encode(*(table(spark, sf_dir, name) for name in ("sale_lines", "sales", "items", "vendors", "clients")))
 
 
-QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings, op11_time_encoding)}
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
-ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE, "op11_time_encoding": time_encoding.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings, op11_time_encoding, op12_hard_negatives)}
+
+ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE, "op11_time_encoding": time_encoding.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
