@@ -85,11 +85,11 @@ class Minima:
         return (low[: TREES * DEPTH] >> np.uint32(16)).astype(">u2").tobytes() + (low[TREES * DEPTH :] >> np.uint32(24)).astype(np.uint8).tobytes()
 
 
-def _signed(docs: DataFrame, size: int) -> DataFrame:
+def _signed(docs: DataFrame, size: int, sign) -> DataFrame:
     fields = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("signature", T.BinaryType())]
 
     def make():
-        minima = Minima()
+        minima = sign()
 
         def run(texts):
             sets = [shingles(t, size) for t in texts]
@@ -133,7 +133,7 @@ def _raw(column_: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column_.to_pylist()), np.uint8).reshape(len(column_), -1)
 
 
-def _scan(threshold: int, edges: bool):
+def _scan(threshold: int, edges: bool, alike=None, least: int = LEAST):
     """Star edges of the pairs of neighbours in sorted rows, and regions beyond ``NEAR``; with ``edges`` also the rows at both
     ends of the partition, each once, for a second scan over the joints."""
 
@@ -149,13 +149,13 @@ def _scan(threshold: int, edges: bool):
         label = _raw(rows.column(1)).view(np.uint16)
         sketch = _raw(rows.column(4))
         pairs = []
-        same = lambda lag: np.flatnonzero((tree[lag:] == tree[:-lag]) & (label[lag:, :LEAST] == label[:-lag, :LEAST]).all(1))
+        same = lambda lag: np.flatnonzero((tree[lag:] == tree[:-lag]) & (label[lag:, :least] == label[:-lag, :least]).all(1))
         for lag in range(1, min(NEAR, len(rows) - 1) + 1):
             i = same(lag)
             i = i[_sized(n[i], n[i + lag], threshold) & (rep[i] != rep[i + lag])]
             for a in range(0, len(i), 20_000):
                 j = i[a : a + 20_000]
-                j = j[_alike(sketch[j], sketch[j + lag])]
+                j = j[(alike or _alike)(sketch[j], sketch[j + lag])]
                 if len(j):
                     pairs.append(np.stack([np.minimum(rep[j], rep[j + lag]), np.maximum(rep[j], rep[j + lag])], 1))
         if pairs:  # only what they connect matters: so many rows as classes, not pairs
@@ -163,7 +163,7 @@ def _scan(threshold: int, edges: bool):
             got = np.array([(b, a) for a, b in stars(got)], dtype=np.int64).reshape(-1, 2)
             yield row(a=got[:, 0], b=got[:, 1])
         if len(rows) > NEAR + 1 and len(i := same(NEAR + 1)):
-            regions = sorted({(t, x.tobytes()) for t, x in zip(tree[i].tolist(), label[i, :LEAST])})
+            regions = sorted({(t, x.tobytes()) for t, x in zip(tree[i].tolist(), label[i, :least])})
             yield row(tree=[t for t, _ in regions], label=[x for _, x in regions])
 
     def edge(rows):
@@ -188,7 +188,7 @@ def _scan(threshold: int, edges: bool):
     return run
 
 
-def _across(threshold: int):
+def _across(threshold: int, alike=None):
     """Star edges between the outside classes and all others of each (tree, region, outside, block) of sorted rows."""
 
     def run(batches):
@@ -201,7 +201,7 @@ def _across(threshold: int):
             found = []
             for i in own.tolist():
                 j = others[(comp[others] != comp[i]) & _sized(n[others], n[i], threshold)]
-                j = j[_alike(sketch[j], sketch[i])]
+                j = j[(alike or _alike)(sketch[j], sketch[i])]
                 if len(j):
                     found.append(np.stack([np.full(len(j), rep[i]), rep[j]], 1))
             if found:
@@ -211,14 +211,14 @@ def _across(threshold: int):
     return run
 
 
-def _finished(trees: DataFrame, regions: DataFrame, groups: DataFrame, threshold: int, parts: int) -> DataFrame:
+def _finished(trees: DataFrame, regions: DataFrame, groups: DataFrame, threshold: int, parts: int, alike=None) -> DataFrame:
     """``groups`` after every class outside the largest group of its region met all classes of the region.
 
     Pairs inside that group need no comparison, and any other pair has a class outside.  Work grows with the classes of a region
     times those outside its largest group; beyond ``REGION`` and ``OUTSIDE`` of them it is dealt to several tasks.
     """
     key = ["tree", "region"]
-    members = trees.withColumn("region", F.substring("label", 1, 2 * LEAST)).join(regions, key)
+    members = trees.join(regions, key)
     members = members.join(groups.toDF("rep", "comp"), "rep", "left").select(*key, "rep", "n", "sketch", F.coalesce("comp", "rep").alias("comp"))
     members = materialise(members, "regions")
     sizes = members.groupBy(*key, "comp").agg(F.count("*").alias("c")).groupBy(*key)
@@ -232,23 +232,31 @@ def _finished(trees: DataFrame, regions: DataFrame, groups: DataFrame, threshold
     own = members.where("comp <> main").select(*key, outside.alias("outside"), each("blocks").alias("block"), F.lit(True).alias("out"), *rest)
     others = members.select(*key, each("outsides").alias("outside"), block.alias("block"), F.lit(False).alias("out"), *rest)
     order = [*key, "outside", "block"]
-    found = own.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_across(threshold)), "a long, b long")
+    found = own.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_across(threshold, alike)), "a long, b long")
     return connected(groups.union(found))
 
 
 def _candidates(classes: DataFrame, threshold: int) -> DataFrame:
     """(a, b): each class (by representative) that is not the smallest of its candidate group, with the smallest."""
+    return neighbours_in_order(classes, threshold, _trees, LEAST)
+
+
+def neighbours_in_order(classes: DataFrame, threshold: int, trees_of, least: int, alike=None) -> DataFrame:
+    """Star edges of candidate groups: classes that share the first ``least`` parts (of two bytes) of a label in a tree, and are alike.
+
+    ``trees_of`` maps batches of (rep, n, signature) to rows (tree, label, rep, n, sketch); ``alike`` compares sketches.
+    """
     with scratch(classes.sparkSession) as keep:
-        trees = classes.select("rep", "n", "signature").mapInArrow(_trees, "tree int, label binary, rep long, n long, sketch binary")
+        trees = classes.select("rep", "n", "signature").mapInArrow(trees_of, "tree int, label binary, rep long, n long, sketch binary")
         parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         order = ["tree", "label", "rep"]
-        found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_scan(threshold, True)), _PAIR_SCHEMA), "neighbours")
+        found = materialise(trees.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_scan(threshold, True, alike, least)), _PAIR_SCHEMA), "neighbours")
         bounds = found.where("rep is not null").select("tree", "label", "rep", "n", "sketch").repartition(TREES, "tree").sortWithinPartitions(*order)
-        found = found.where("rep is null").union(materialise(bounds.mapInArrow(_scan(threshold, False), _PAIR_SCHEMA), "joints"))
+        found = found.where("rep is null").union(materialise(bounds.mapInArrow(_scan(threshold, False, alike, least), _PAIR_SCHEMA), "joints"))
         groups = connected(found.where("a is not null").select("a", "b"))
         regions = materialise(found.where("a is null").select("tree", F.col("label").alias("region")).distinct(), "dense")
         if regions.limit(1).count():
-            groups = _finished(trees, regions, groups, threshold, parts)
+            groups = _finished(trees.withColumn("region", F.substring("label", 1, 2 * least)), regions, groups, threshold, parts, alike)
         return keep(groups)
 
 
@@ -357,31 +365,31 @@ def _loose_connected(large: DataFrame, edges: DataFrame, threshold: int, parts:
     # one row for each group beyond a block
     sizes = rooted(edges).groupBy("comp", "root").agg(F.count("*").alias("c"))
     main = materialise(sizes.groupBy("comp").agg(F.max_by("root", F.struct("c", "root")).alias("main")), "main")
-    apart = rooted(edges).join(F.broadcast(main), "comp").where("root <> main").select("comp", "node", (F.length("words") / 8).alias("n"))
+    apart = rooted(edges).join(main, "comp").where("root <> main").select("comp", "node", (F.length("words") / 8).alias("n"))
     apart = materialise(apart, "apart")
     counts = apart.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / LOOSE), F.ceil(F.sum("n") / LOOSE_SHINGLES)).alias("loose_blocks"))
     counts = materialise(counts, "loose_blocks")
-    apart = apart.join(F.broadcast(counts), "comp").select("comp", "node", F.pmod(F.xxhash64("node", F.lit(1)), "loose_blocks").alias("loose_block"))
+    apart = apart.join(counts, "comp").select("comp", "node", F.pmod(F.xxhash64("node", F.lit(1)), "loose_blocks").alias("loose_block"))
     most = counts.agg(F.max("loose_blocks")).first()[0] or 0
     for begin in range(0, most, LOOSE_BLOCKS):
         now = rooted(edges)
         where = main.join(edges.toDF("main", "now"), "main", "left").select("comp", F.coalesce("now", "main").alias("main"))
         taken = apart.where(F.col("loose_block").between(begin, begin + LOOSE_BLOCKS - 1))
-        loose = now.join(taken, ["comp", "node"]).join(F.broadcast(where), "comp").where("root <> main")
+        loose = now.join(taken, ["comp", "node"]).join(where, "comp").where("root <> main")
         ranged = lambda low, high: F.explode(F.sequence(low, high))
         loose = loose.select("comp", "loose_block", ranged(F.lit(0).cast("long"), F.col("blocks") - 1).alias("block"), "node", F.lit(True).alias("loose"), "words")
         loose = materialise(loose, "loose")
         asked = materialise(loose.select("comp", "loose_block").distinct(), "asked")
-        others = large.join(F.broadcast(asked), "comp").select("comp", "loose_block", "block", "node", F.lit(False).alias("loose"), "words")
+        others = large.join(asked, "comp").select("comp", "loose_block", "block", "node", F.lit(False).alias("loose"), "words")
         order = ["comp", "loose_block", "block"]
         found = loose.union(others).repartition(parts, *order).sortWithinPartitions(*order).mapInArrow(tidy(_compare_loose(threshold)), "a long, b long")
         edges = connected(edges.union(found))
     return edges
 
 
-def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> DataFrame:
-    """Confirmed (a, b) that connect the classes of each component."""
-    groups = _candidates(classes, threshold)
+def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int, candidates=None) -> DataFrame:
+    """Confirmed (a, b) that connect the classes of each component; ``candidates`` finds groups that hold all links."""
+    groups = (candidates or _candidates)(classes, threshold)
     groups = groups.union(groups.select("b", "b").distinct()).toDF("node", "comp")
     groups = groups.join(classes.select("rep", "n", "digest", "doc"), F.col("node") == F.col("rep")).drop("rep")
     totals = groups.groupBy("comp").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("blocks"))
@@ -406,7 +414,7 @@ def _edges(docs: DataFrame, classes: DataFrame, size: int, threshold: int) -> Da
     return _loose_connected(large, connected(edges.union(again.where("a <> b").select("a", "b"))), threshold, parts)
 
 
-def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -> DataFrame:
+def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR, sign=None, candidates=None) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept (doc_id = component_id).
 
     Null, empty or wordless text: size 0, linked with nothing.  Rows with equal sets are linked; rows that repeat a doc_id are
@@ -415,14 +423,14 @@ def components(docs: DataFrame, size: int = SHINGLE, threshold: int = SIMILAR) -
     looked at, whatever their names.
     """
     with scratch(docs.sparkSession) as keep:
-        signed = keep(materialise(_signed(docs, size), "signed"))
-        named = keep(_named(docs, signed, size, threshold))
+        signed = keep(materialise(_signed(docs, size, sign or Minima), "signed"))
+        named = keep(_named(docs, signed, size, threshold, candidates))
     out = signed.select("doc_id", F.col("n").alias("n_shingles"), "digest").join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _named(docs: DataFrame, signed: DataFrame, size: int, threshold: int) -> DataFrame:
+def _named(docs: DataFrame, signed: DataFrame, size: int, threshold: int, candidates=None) -> DataFrame:
     """Table of (digest, component_id)."""
     classes = (
         signed.where("digest is not null and doc_id is not null")
@@ -435,7 +443,7 @@ def _named(docs: DataFrame, signed: DataFrame, size: int, threshold: int) -> Dat
         order = F.row_number().over(Window.partitionBy("doc").orderBy("digest"))
         classes = classes.withColumn("rep", F.when(order == 1, F.col("doc")).otherwise(F.xxhash64("digest")))
     classes = materialise(classes, "classes")
-    labels = connected(_edges(docs, classes, size, threshold)).toDF("rep", "component")
+    labels = connected(_edges(docs, classes, size, threshold, candidates)).toDF("rep", "component")
     named = classes.join(labels, "rep", "left").select("digest", "doc", F.coalesce("component", "rep").alias("component_id"))
     if twice:
         least = named.groupBy("component_id").agg(F.min("doc").alias("least"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import chat, decontaminate, hard_negatives, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, time_encoding, url_filter
+from . import chat, count_join, decontaminate, hard_negatives, language_id, licences, near_dedup, neighbours, packing, pii, substring_dedup, time_encoding, url_filter
 from .common import table
 
 #: The tokenizer's file; a parameter of ``packing.pack``.
@@ -59,6 +59,10 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings, op11_time_encoding, op12_hard_negatives)}
+def op13_count_join(spark, sf_dir):
+    return count_join.join(table(spark, sf_dir, "documents"))
 
-ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE, "op11_time_encoding": time_encoding.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE}
+
+QUERIES = {f.__name__: f for f in (op1_urls, op2_neighbours, op3_pii, op4_decontaminate, op5_pack, op6_language, op7_chat, op8_licences, op9_near_dedup, op10_substrings, op11_time_encoding, op12_hard_negatives, op13_count_join)}
+
+ORACLE_SQL = {"op7_chat": chat.ORACLE, "op4_decontaminate": decontaminate.ORACLE, "op9_near_dedup": near_dedup.ORACLE, "op10_substrings": substring_dedup.ORACLE, "op11_time_encoding": time_encoding.ORACLE, "op12_hard_negatives": hard_negatives.ORACLE, "op13_count_join": count_join.ORACLE}
