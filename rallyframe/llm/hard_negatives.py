@@ -69,7 +69,7 @@ _FILE = "dims int, block int, rows binary, labels binary, codes binary, low bina
 def _bounds(record: dict, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Twice the lowest and highest possible score of each vector with each row of the record, and what rounding may add."""
     dims = record["dims"]
-    codes = np.frombuffer(record["codes"], np.uint8).reshape(-1, dims)
+    codes = np.frombuffer(record["codes"], np.uint8).reshape(len(record["rows"]) // 8, dims)
     low, high = (np.frombuffer(record[x], np.int64).reshape(dims, CELLS) for x in ("low", "high"))
     there = low <= high
     middle, width = np.where(there, low + high, 0).astype(float), np.where(there, high - low, 0).astype(float)
