@@ -79,6 +79,21 @@ def refreshed(docs: DataFrame) -> DataFrame:
     return standings.with_precedence(flatten.standings(scheduled).drop("standing_pos"), standings.derive(scheduled)).unionByName(flatten.standings(rest).drop("standing_pos"), allowMissingColumns=True)
 
 
+def with_standings(docs: DataFrame) -> DataFrame:
+    """``docs`` with standings after new matches, as ``refreshed`` has them, made inside each row."""
+    kind = docs.schema["standings"].dataType
+    stored = F.coalesce("standings", F.array().cast(kind))
+    official = F.filter(stored, lambda s: s["source"] == "pdf")
+    named = F.transform(official, lambda s: s["group"])
+    own = F.filter(standings.derived(F.col("matches")), lambda s: ~F.array_contains(named, s["group"]))
+    names = [f.name for f in kind.elementType.fields]
+    given = {"source": F.lit("derived")}
+    own = F.transform(own, lambda s: F.struct(*((s[n] if n in ("group", "rank", "unit", "members") else given.get(n, F.lit(None))).alias(n) for n in names))).cast(kind)
+    ordered = F.array_sort(F.transform(F.concat(official, own), lambda s, i: F.struct(s["group"].alias("g"), s["rank"].alias("r"), i.alias("i"), s.alias("s"))))
+    fresh = F.transform(ordered, lambda x: x["s"])
+    return docs.withColumn("standings", F.when(F.coalesce(F.size("matches"), F.lit(0)) > 0, fresh).otherwise(F.col("standings")))
+
+
 def skipped(docs: DataFrame, force: bool = False) -> Column:
     """Tournaments whose documents are not fetched: made by hand, or finished with a result document."""
     has_result = F.exists(F.coalesce("documents", F.array()), lambda d: d["type"] == RESULT)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import entry_key, group_tags, is_promoted, member_units, nz, safe_int, unit_text, utrim
+from ..functions import base_group, entry_key, group_tags, is_promoted, member_units, nz, safe_int, side_members, unit_text, utrim
 from ..sources.schemas import STANDING
 from . import flatten
 
@@ -13,39 +13,67 @@ from . import flatten
 FINALS, THIRD, ROUND_ROBIN = ("R2", "F2"), "R34", ("F3", "F4")
 
 
-def _bracket(sides: DataFrame, types, first: int) -> DataFrame:
-    ours = sides.where(utrim(nz(F.col("matchtype"))).isin(*types) & F.col("winner").isin("A", "B"))
-    rank = F.when(F.col("winner") == F.col("side"), first).otherwise(first + 1)
-    return ours.select("openid", F.col("base_group").alias("group"), rank.alias("rank"), "unit", "members")
+def _bracket(matches: Column, group: Column, first: int) -> Column:
+    """Both sides of the only match, the winner's first."""
+    m = F.get(matches, 0)
+    row = lambda side, rank: F.struct(group.alias("group"), F.lit(rank).alias("rank"), side["unit"].alias("unit"), side["members"].alias("members"), side["there"].alias("there"))
+    won = F.when(m["winner"] == "A", m["A"]).otherwise(m["B"])
+    lost = F.when(m["winner"] == "A", m["B"]).otherwise(m["A"])
+    return F.filter(F.array(row(won, first), row(lost, first + 1)), lambda r: r["there"])
+
+
+def _table(matches: Column, group: Column) -> Column:
+    """Entries of a round robin in order: wins, then point difference, then first appearance."""
+
+    def sides(m):
+        one = lambda s, o: F.struct(m[s]["there"].alias("there"), m[s]["key"].alias("key"), m[s]["unit"].alias("unit"), m[s]["members"].alias("members"), (m["winner"] == s).cast("long").alias("win"), F.coalesce(m[s]["score"] - m[o]["score"], F.lit(0)).alias("difference"))
+        return F.array(one("A", "B"), one("B", "A"))
+
+    played = F.filter(F.flatten(F.transform(matches, sides)), lambda s: s["there"])
+
+    def entry(key, i):
+        own = F.filter(played, lambda s: s["key"] == key)
+        total = lambda field: F.aggregate(own, F.lit(0).cast("long"), lambda x, s: x + s[field])
+        return F.struct((-total("win")).alias("w"), (-total("difference")).alias("d"), i.alias("i"), F.get(own, 0)["unit"].alias("unit"), F.get(own, 0)["members"].alias("members"))
+
+    entries = F.array_sort(F.transform(F.array_distinct(F.transform(played, lambda s: s["key"])), entry))
+    return F.transform(entries, lambda e, i: F.struct(group.alias("group"), (i + 1).alias("rank"), e["unit"].alias("unit"), e["members"].alias("members"), F.lit(True).alias("there")))
+
+
+def derived(matches: Column) -> Column:
+    """Standings (group, rank, unit, members, there) of a document's matches as one array, of its own matches only."""
+
+    def told(m):
+        def side(s):
+            unit, members = nz(m[f"team{s}"]), side_members(m["scoreinfo"], s)
+            return F.struct(((unit != "") | (F.size(members) > 0)).alias("there"), entry_key(unit, members).alias("key"), unit.alias("unit"), members.alias("members"), safe_int(m[f"{s}sidescore"]).alias("score"))
+
+        return F.struct(base_group(m["groupName"]).alias("group"), utrim(nz(m["matchtype"])).alias("kind"), m["winner"].alias("winner"), F.coalesce(m["winner"].isin("A", "B"), F.lit(False)).alias("decided"), side("A").alias("A"), side("B").alias("B"))
+
+    all_matches = F.filter(F.transform(F.coalesce(matches, F.array()), told), lambda m: m["group"] != "")
+
+    def of(group, all_):
+        own = F.filter(all_, lambda m: m["group"] == group)
+        finals = F.filter(own, lambda m: m["decided"] & m["kind"].isin(*FINALS))
+        thirds = F.filter(own, lambda m: m["decided"] & (m["kind"] == THIRD))
+        rounds = F.filter(own, lambda m: m["kind"].isin(*ROUND_ROBIN))
+        table = _table(rounds, group)
+        none = F.slice(table, 1, 0)
+        podium = F.concat(_bracket(finals, group, 1), F.when(F.size(thirds) == 1, _bracket(thirds, group, 3)).otherwise(none))
+        return F.when(F.size(finals) == 1, podium).when((F.size(rounds) > 0) & F.forall(rounds, lambda m: m["decided"]), table).otherwise(none)
+
+    # the matches as told go through an array of one, so that they are made once
+    return F.flatten(F.flatten(F.transform(F.array(all_matches), lambda x: F.transform(F.array_distinct(F.transform(x, lambda m: m["group"])), lambda g: of(g, x)))))
 
 
 def derive(docs: DataFrame) -> DataFrame:
     """(openid, group, rank, unit, members, source): a single decided final gives ranks 1 and 2, and then a single match for
     third place 3 and 4; else a round robin that is decided throughout is ranked by wins, point difference and first appearance.
+
+    All of it happens inside each row; nothing is shuffled.
     """
-    m = flatten.matches(docs).where("base_group <> ''")
-    kind, decided = utrim(nz(F.col("matchtype"))), F.col("winner").isin("A", "B")
-    counts = m.groupBy("openid", F.col("base_group").alias("group")).agg(
-        F.count_if(kind.isin(*FINALS) & decided).alias("finals"),
-        F.count_if((kind == THIRD) & decided).alias("thirds"),
-        F.count_if(kind.isin(*ROUND_ROBIN)).alias("rounds"),
-        F.count_if(kind.isin(*ROUND_ROBIN) & F.coalesce(decided, F.lit(False))).alias("rounds_decided"),
-    )
-    sides = flatten.sides(m).where((F.col("unit") != "") | (F.size("members") > 0))
-    key = ["openid", "group"]
-    final = _bracket(sides, FINALS, 1).join(counts.where("finals = 1").select(*key), key)
-    third = _bracket(sides, (THIRD,), 3).join(counts.where("finals = 1 AND thirds = 1").select(*key), key)
-
-    table = sides.where(utrim(nz(F.col("matchtype"))).isin(*ROUND_ROBIN)).withColumnRenamed("base_group", "group")
-    table = table.join(counts.where("finals <> 1 AND rounds > 0 AND rounds = rounds_decided").select(*key), key)
-    order = F.col("match_pos") * 2 + F.col("side_pos")
-    difference = F.coalesce(safe_int(F.col("own")) - safe_int(F.col("other")), F.lit(0))
-    entries = table.groupBy(*key, entry_key(F.col("unit"), F.col("members")).alias("entry")).agg(
-        F.sum((F.col("winner") == F.col("side")).cast("int")).alias("wins"), F.sum(difference).alias("difference"), F.min(order).alias("first"), F.min_by(F.struct("unit", "members"), order).alias("e")
-    )
-    placed = Window.partitionBy(*key).orderBy(F.desc("wins"), F.desc("difference"), "first")
-    rounds = entries.select(*key, F.row_number().over(placed).alias("rank"), "e.unit", "e.members")
-    return final.unionByName(third).unionByName(rounds).withColumn("source", F.lit("derived"))
+    rows = docs.select("openid", F.inline(derived(F.col("matches"))))
+    return rows.select("openid", "group", "rank", "unit", "members", F.lit("derived").alias("source"))
 
 
 def built_entries(entries: DataFrame) -> DataFrame:

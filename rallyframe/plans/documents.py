@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import category_of, classify_document, group_tags, is_promoted, member_units, unit_text
-from ..operators import flatten, geometry, indexes, ingest, search, standings
+from ..operators import flatten, geometry, indexes, ingest, maintenance, search, standings
+from ..sources import Store, scratch_folder
 from ..sources.schemas import DOCUMENT, GROUP, MATCH, NEWS, REGULATION, STANDING
 from ..streaming import landing
-from .catalogue import _query, _t
+from .catalogue import ORACLE_SQL, _query, _t
 
 #: Columns of a line item as a match and as a standing, alike in Spark and in DuckDB.
 _MATCH = {
@@ -462,3 +463,32 @@ def latest_versions(spark, sf_dir):
     """One version of each document that landed several times."""
     rows = _t(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("openid"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("lastUpdated"), F.col("o_orderpriority").alias("name"))
     return landing.latest(rows).select("openid", "lastUpdated")
+
+
+def _followed(spark, sf_dir) -> Store:
+    """A store with three quarters of the documents, a quarter of these without matches and standings, and then the others and what these lacked."""
+    docs = _documents(spark, sf_dir)
+    part = F.col("openid").cast("long") % 4
+    empty = lambda c: F.when(part != 0, F.col(c)).otherwise(F.array().cast(docs.schema[c].dataType))
+    store = Store(spark, scratch_folder(spark, "followed"))
+    maintenance.follow(store, docs.where(part != 3).withColumns({"matches": empty("matches"), "standings": empty("standings")}), ("load", 0))
+    store.settle()
+    maintenance.follow(store, docs.where(part.isin(0, 3)), ("load", 1))
+    maintenance.follow(store, docs.where(part == 1), ("load", 1))
+    return store
+
+
+@_query(ORACLE_SQL["player_index"])
+def followed_players(spark, sf_dir):
+    """The index of players after a batch has replaced and added documents; a batch that comes again changes nothing."""
+    return _followed(spark, sf_dir).read("players").select("name", "openid", _joined("units"), _joined("groups"))
+
+
+@_query(ORACLE_SQL["unit_index"])
+def followed_units(spark, sf_dir):
+    return _followed(spark, sf_dir).read("units").select("unit", "openid", _joined("players"))
+
+
+@_query(ORACLE_SQL["rank_bag"])
+def followed_ranks(spark, sf_dir):
+    return _followed(spark, sf_dir).read("ranks").select("name", "openid", "group", F.col("rank").cast("long").alias("rank"), "unit")
