@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.store import written
+
 
 def pages(spec: Column, total: Column) -> Column:
     """0-based pages of a text such as ``1-5,8``, in order and with repeats, inside the document; an empty text means all.
@@ -42,17 +44,53 @@ def ruling_lines(shapes: DataFrame) -> DataFrame:
     return shapes.select(*_page(shapes), F.explode(edges).alias("y"))
 
 
+def dealt(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with a column _part: ranges of about equally many rows in ``order``, so that a key with most rows has many parts."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+
+
 def clusters(points: DataFrame, key: str | list[str], value: str, gap: float) -> DataFrame:
     """(key, cluster, n, mean, low, high): a cluster ends where the next value is more than ``gap`` further.
 
-    The values of one key are sorted in one task, spilling to disk where they must.
+    Points are dealt by ranges of key and value, clusters are made inside each range, and those at the joint of two ranges of one
+    key become one where the gap is small.  What comes together for a key has one row a range, so that a key may have most points.
+    """
+    keys = [key] if isinstance(key, str) else key
+    inside = Window.partitionBy(*keys, "_part").orderBy(value)
+    new = F.coalesce((F.col(value) - F.lag(value).over(inside) > gap).cast("int"), F.lit(0))
+    rows = dealt(points.select(*keys, value), [*keys, value]).withColumn("_new", new)
+    rows = rows.withColumn("_own", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = rows.groupBy(*keys, "_part", "_own").agg(F.count("*").alias("n"), F.count(value).alias("_known"), F.sum(value).alias("_sum"), F.min(value).alias("low"), F.max(value).alias("high"))
+    pieces = written(pieces, "clusters")
+    ranges = pieces.groupBy(*keys, "_part").agg(F.count("*").alias("_count"), F.min("low").alias("_low"), F.max("high").alias("_high"))
+    along = Window.partitionBy(*keys).orderBy("_part")
+    apart = F.coalesce(F.col("_low") - F.lag("_high").over(along) > gap, F.lit(False))
+    ranges = ranges.withColumn("_joined", ((F.row_number().over(along) > 1) & ~apart).cast("int"))
+    before = F.sum("_count").over(along) - F.col("_count") - F.sum("_joined").over(along)
+    ranges = ranges.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), before.alias("_before"))
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    found = pieces.join(ranges, [*same, F.col("_part") == F.col("_p")]).withColumn("cluster", F.col("_before") + F.col("_own"))
+    whole = [F.sum("n").alias("n"), (F.sum("_sum") / F.sum("_known")).alias("mean"), F.min("low").alias("low"), F.max("high").alias("high")]
+    return found.groupBy(*keys, "cluster").agg(*whole)
+
+
+def following(rows: DataFrame, key: str | list[str], order: list[str], value: str, name: str) -> DataFrame:
+    """``rows`` with ``value`` of the next row of the same key as ``name``, null for the last one.
+
+    ``order`` tells all rows of a key apart.  As in ``clusters`` a key with most rows is dealt to many tasks: the last row of a
+    range takes what the next range of the key begins with.
     """
     keys = [key] if isinstance(key, str) else key
-    order = Window.partitionBy(*keys).orderBy(value)
-    new = F.coalesce((F.col(value) - F.lag(value).over(order) > gap).cast("int"), F.lit(0))
-    marked = points.select(*keys, value, new.alias("new"))
-    marked = marked.withColumn("cluster", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "cluster").agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.min(value).alias("low"), F.max(value).alias("high"))
+    held = written(dealt(rows, [*keys, *order]), "following")
+    inside = Window.partitionBy(*keys, "_part").orderBy(*order)
+    first = held.groupBy(*keys, "_part").agg(F.min_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_first"))
+    along = Window.partitionBy(*keys).orderBy("_part")
+    first = first.withColumn("_next", F.lead("_first").over(along))
+    first = first.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), "_next")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    out = held.withColumn("_own", F.lead(F.struct(F.col(value).alias("v"))).over(inside)).join(first, [*same, F.col("_part") == F.col("_p")])
+    return out.select(*rows.columns, F.coalesce("_own", "_next")["v"].alias(name))
 
 
 def strips(lines: DataFrame, least: float = 12, gap: float = 4.0, margin: float = 1.0) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import base_group, format_date, game_outcome, nz, result_label, split_members
 from ..functions.names import TEAM
-from . import flatten
+from . import flatten, postings
 
 SHOWN, PAGE = 60, 150
 COLLATION = "zh_Hant"
@@ -149,19 +149,15 @@ def filtered_matches(matches: DataFrame, group: str | None = None, keyword: str
 def variants(units: DataFrame, focus: str | None = None) -> DataFrame:
     """(focus, unit): other unit names that contain the focus, or, of two characters at least, are contained in it.
 
-    All pairs of a unit table come from an equi join on bigrams of the shorter name (or its one character), then the exact test.
+    All pairs of a unit table come from an equi join on the rarest bigram of the shorter name (or its one character), then the exact test.
     """
     names = units.select("unit").distinct()
     if focus is not None:
         inside = F.lit(focus).contains(F.col("unit")) if len(focus) >= 2 else F.lit(False)
         return names.where((F.col("unit") != focus) & (F.col("unit").contains(focus) | inside)).select(F.lit(focus).alias("focus"), "unit")
-    size = F.char_length("unit")
-    gram = lambda n: F.transform(F.sequence(F.lit(1), size - (n - 1)), lambda i: F.substring("unit", i, F.lit(n)))
-    long_side = names.select(F.col("unit").alias("long"), F.explode(F.array_distinct(F.concat(gram(1), F.when(size >= 2, gram(2)).otherwise(F.array().cast("array<string>"))))).alias("g"))
-    short_side = names.where(size >= 1).select(F.col("unit").alias("short"), F.when(size >= 2, F.substring("unit", 1, 2)).otherwise(F.col("unit")).alias("g"))
-    pairs = short_side.join(long_side, "g").where(F.col("long").contains(F.col("short")) & (F.col("long") != F.col("short"))).select("short", "long").distinct()
-    containing = pairs.select(F.col("short").alias("focus"), F.col("long").alias("unit"))
-    contained = pairs.where(F.char_length("long") >= 2).select(F.col("long").alias("focus"), F.col("short").alias("unit"))
+    pairs = postings.containing(names, "unit", names, "unit").where("text <> name")
+    containing = pairs.select(F.col("text").alias("focus"), F.col("name").alias("unit"))
+    contained = pairs.where(F.char_length("name") >= 2).select(F.col("name").alias("focus"), F.col("text").alias("unit"))
     return containing.unionByName(contained)
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import encode_component, escape_html, format_date, format_range, game_outcome, nz, rank_class, rank_label, safe_int, split_members, utrim
-from ..operators import geometry, search
+from ..operators import geometry, postings, search
+from ..sources import Store, scratch_folder
 from ..streaming import landing
 
 QUERIES: dict = {}
@@ -270,7 +271,8 @@ def gap_cluster(spark, sf_dir):
 @_query("""WITH c AS (SELECT user_id, epoch_us(ts) t, event_id FROM events) SELECT user_id, event_id, lead(t) OVER (PARTITION BY user_id ORDER BY t, event_id) - t AS wait FROM c""")
 def adjacent_pairs(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select("user_id", "event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    return e.select("user_id", "event_id", (F.lead("t").over(Window.partitionBy("user_id").orderBy("t", "event_id")) - F.col("t")).alias("wait"))
+    rows = geometry.following(e, "user_id", ["t", "event_id"], "t", "next")
+    return rows.select("user_id", "event_id", (F.col("next") - F.col("t")).alias("wait"))
 
 
 @_query("""WITH x AS (SELECT p_partkey, p_size t, p_partkey%7 a, p_partkey%11 b, p_partkey%5 c FROM part), y AS (SELECT p_partkey, t, list_concat(CASE WHEN a<=b THEN range(a,b+1) ELSE [] END,[c]) l FROM x)
@@ -377,3 +379,22 @@ def event_windows(spark, sf_dir):
 
 
 from . import documents  # noqa: E402, F401  (its queries are added to the catalogue)
+
+
+_TEXTS = "SELECT DISTINCT x AS text FROM (SELECT substr(city,1,3) AS x FROM clients UNION ALL SELECT substr(city,2,2) FROM clients UNION ALL SELECT substr(city,1,1) FROM clients UNION ALL SELECT name FROM vendors) WHERE trim(x)<>''"
+
+
+@_query(f"SELECT text, name FROM ({_TEXTS}) JOIN (SELECT DISTINCT name FROM clients UNION SELECT name FROM vendors) n ON contains(name, text)")
+def names_with_texts(spark, sf_dir):
+    """Many texts searched in all names of clients and vendors at once, by the rarest n-gram of each."""
+    clients, vendors = _t(spark, sf_dir, "clients"), _t(spark, sf_dir, "vendors")
+    texts = clients.select(F.explode(F.array(F.substring("city", 1, 3), F.substring("city", 2, 2), F.substring("city", 1, 1))).alias("text")).union(vendors.select("name"))
+    return postings.containing(texts, "text", clients.select("name").union(vendors.select("name")), "name")
+
+
+@_query("SELECT DISTINCT name FROM (SELECT name FROM clients UNION ALL SELECT name FROM vendors) WHERE contains(name,'ren')")
+def names_found_in_postings(spark, sf_dir):
+    """A search that reads the stored postings of one n-gram."""
+    store = Store(spark, scratch_folder(spark, "postings"), key="gram")
+    postings.stored(store, _t(spark, sf_dir, "clients").select("name").union(_t(spark, sf_dir, "vendors").select("name")), "name")
+    return postings.find(store, "ren")

@@ -36,6 +36,13 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows``, written into a new shared folder and read from there: computed once, and the same at each use."""
+    path = scratch_folder(rows.sparkSession, name)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def parent_of(bucket: int, buckets: int) -> int:
     """The bucket below ``buckets`` that rows of ``bucket`` came from."""
     while bucket >= buckets:
