@@ -218,6 +218,19 @@ def test_licence_classifier():
     assert licences.proved()
 
 
+def test_licence_names_are_not_confused():
+    """Names that take each other's place, names alone, and the same words in another order."""
+    want = {
+        "SPDX-License-Identifier: GPL-2.0-only": "gpl", "SPDX-License-Identifier: MPL-2.0": "mpl", "SPDX-License-Identifier: LGPL-2.1-or-later": "lgpl", "SPDX-License-Identifier: Apache-2.0": "apache",
+        "Licensed under the Mozilla Public License version 2.0": "mpl", "GNU Lesser General Public License version 2.1": "lgpl", "GNU Affero General Public License version 3": "agpl",
+        "this work is in the public garden and domain of arts": "unknown", "MIT License": "mit", "Apache License\n                           Version 2.0, January 2004": "apache", "GPLv3": "gpl", "CC BY-SA 4.0": "cc-by-sa", "GNU GPL version 3 or later": "gpl",
+        "Licensed under the Fictional License, Version 2.0": "unknown", "Released under the Acme Public License": "unknown", "SPDX-License-Identifier: CDDL-1.0": "unknown", "Licensed under the PHP License": "unknown",
+        "Licensed under the Common Development and Distribution License version 1.0": "unknown", "license public general gnu": "unknown", "The general public license fee for gnu herds": "unknown",
+        "This is free and unencumbered software released into the public domain.": "unlicense", "Licensed under CC BY-NC 4.0": "cc-by-nc", "Licensed under CC BY 4.0": "cc-by", "Licensed under CC BY-ND 4.0": "unknown",
+    }
+    assert {t: licences.classify(t) for t in want} == want
+
+
 def test_licences_on_paragraphs_that_were_not_learned():
     """Precision and recall on notices in other surroundings, and on prose with the same words."""
     before = ["", "Copyright 2019 J. Doe. ", "All files here are ", "Unless noted, content is ", "(c) 2021 Example Ltd. ", "* "]
