@@ -167,7 +167,8 @@ def encode(lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: DataFr
 
     def of(identity: str, known: DataFrame, value: str) -> DataFrame:
         events = base.groupBy(identity, "t", "fold").agg(*sums)
-        known = _known(known, identity, value)
+        # a table of its own, so that Spark can split the events of a hot id in the join
+        known = materialise(_known(known, identity, value), "known")
         shared = F.coalesce(F.concat(F.lit("="), F.col(value).cast("string")), F.lit("")).alias(value)
         return materialise(events.join(known, identity, "left").select(identity, "t", "fold", "n", "s", shared), identity)
 
