@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, map_texts, materialise, scratch, without
+from .common import column, discard, map_texts, materialise, scratch, without
 
 WINDOW = 10
 #: Most (window, item) pairs that are broadcast at once, about 100 bytes each.
@@ -172,26 +172,33 @@ def find_occurrences(docs: DataFrame, benchmark: DataFrame, keep: list[str], win
             patterns = patterns.withColumn("chunk", F.pmod(F.xxhash64("words", "item"), F.lit(n_chunks)))
         made = ["wm_words", "wm_spans", "wm_items"]
         keep = [c for c in keep if c.lower() not in made]
-        out, found, mark = docs, [], "wm"
+        out, found, mark, written, shared = docs, [], "wm", None, []
         while any(c.lower().startswith(mark + "_") for c in docs.columns):
             mark = "_" + mark
         for k in range(n_chunks):
             rows = (patterns if n_chunks == 1 else patterns.where(F.col("chunk") == k)).select("words", "item").collect()
-            out = _searched(out, f"{mark}_{{}}_{k}", rows, item_type, list(dict.fromkeys([*keep, *found, *([] if k == n_chunks - 1 else ["text"])])))
+            shared.append(docs.sparkSession.sparkContext.broadcast([(bytes(r.words).split(b" "), r.item) for r in rows]))
+            out = _searched(out, f"{mark}_{{}}_{k}", shared[-1], item_type, list(dict.fromkeys([*keep, *found, *([] if k == n_chunks - 1 else ["text"])])))
             found += [f"{mark}_{x}_{k}" for x in _MADE]
             if k % TOGETHER == TOGETHER - 1 and k < n_chunks - 1:
-                # one result stands for those so far
+                # one result stands for those so far; the table and the windows behind it are needed no more
                 out = out.select(*(column(out, c) for c in dict.fromkeys([*keep, "text"])), *(x.alias(n) for x, n in zip(_united(found), found[-3:])))
-                out, found = retain(materialise(out, "searched")), found[-3:]
+                out, found = materialise(out, "searched"), found[-3:]
+                if written is not None:
+                    discard(written)
+                written = out
+                while shared:
+                    shared.pop().destroy()
+        if written is not None:
+            retain(written)
     return out.select(*(column(out, c) for c in keep), *(x.alias(n) for x, n in zip(_united(found), made)))
 
 
 _MADE = ("words", "spans", "items")
 
 
-def _searched(docs: DataFrame, name: str, rows: list, item_type: T.DataType, carried: list[str]) -> DataFrame:
-    """``carried`` columns of ``docs``, and words, spans and items of one chunk in columns of ``name``."""
-    shared = docs.sparkSession.sparkContext.broadcast([(bytes(r.words).split(b" "), r.item) for r in rows])
+def _searched(docs: DataFrame, name: str, shared, item_type: T.DataType, carried: list[str]) -> DataFrame:
+    """``carried`` columns of ``docs``, and words, spans and items of one broadcast chunk in columns of ``name``."""
     fields = [T.StructField(name.format(x), t) for x, t in zip(_MADE, (T.LongType(), T.ArrayType(T.IntegerType()), T.ArrayType(item_type)))]
 
     def make():
@@ -223,13 +230,13 @@ def _merge_spans(*columns):
 
         out = []
         for row in zip(*rows):
-            merged: list[int] = []
-            for a, b in sorted(map(tuple, np.concatenate([np.asarray(x, np.int32).reshape(-1, 2) for x in row]).tolist())):
-                if merged and a <= merged[-1]:
-                    merged[-1] = max(b, merged[-1])
-                else:
-                    merged += [a, b]
-            out.append(merged)
+            ends = np.concatenate([np.asarray(x, np.int32).reshape(-1, 2) for x in row])
+            ends = ends[np.argsort(ends[:, 0], kind="stable")]
+            reach = np.maximum.accumulate(ends[:, 1])
+            # a span begins where its start lies beyond all ends before
+            first = np.flatnonzero(np.concatenate(([True], ends[1:, 0] > reach[:-1]))[: len(ends)])
+            last = np.concatenate((first[1:], [len(ends)]))[: len(first)] - 1
+            out.append(np.stack((ends[first, 0], reach[last]), axis=1).ravel())
         return pd.Series(out)
 
     return merge(*columns)

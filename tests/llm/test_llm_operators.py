@@ -1,6 +1,7 @@
 """Operators on small tables with nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -74,6 +75,12 @@ def test_decontaminate(spark, docs):
     assert rows_of(decontaminate.digest(docs, bench), *columns) == sorted(want, key=repr)
     assert rows_of(decontaminate.digest(docs, bench, chunk=4), *columns) == sorted(want, key=repr)
     assert rows_of(decontaminate.digest(docs.withColumn("wm_words_0", F.lit(1)), bench, chunk=2), *columns) == sorted(want, key=repr)
+    # however many chunks, one written table is left: the one that the result reads
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    left = lambda: {f for f in os.listdir(folder) if f.startswith(("searched", "patterns"))}
+    before = left()
+    assert rows_of(decontaminate.digest(docs, bench, chunk=2), *columns) == sorted(want, key=repr)
+    assert len(left() - before) == 1
     clean = decontaminate.clean(docs, bench)
     assert clean.columns == docs.columns and clean.count() == sum(not w[-1] for w in want)
     assert decontaminate.digest(docs.limit(0), bench).count() == 0 and not decontaminate.digest(docs, bench.limit(0)).where("n_hit > 0").count()
