@@ -18,7 +18,7 @@ from .common import column
 RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
 #: Rules up to which they are part of the expression; more are joined by the url's host suffixes.
 RULES_IN_PLACE = 256
-SLOTS, GRAMS = 4096, (3, 4)
+SLOTS, GRAMS, EPOCHS = 1 << 14, (3, 4), 20
 THRESHOLD = 0.5
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -49,21 +49,45 @@ def grams(host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(*(of(t, m) for t, m in ((host, "h"), (path, "p")))))
 
 
+#: Words of hosts of the labelled table, by kind of site; its urls are made from these by rule.
+BAD_WORDS = {
+    "gambling": "casino poker slots bets betting jackpot blackjack baccarat lottery lotto bingo wager bookie spin stakes vegas highroller",
+    "adult": "adult porn sex sexy nude naked escort erotic webcam cams milf fetish camgirl sexcam xxx playboy hookup",
+    "pharmacy": "pills viagra cialis xanax steroid tramadol pharmacy weightloss dietpill hgh",
+    "money": "payday loans quickcash easymoney getrich forex crypto bitcoin doubler profit investor ponzi cashback freegift giveaway prize winner",
+    "fakes": "replica knockoff fakewatch fakeid counterfeit outlet cheapbags",
+    "piracy": "warez torrent crack serial nulled cracked pirate leech rapid movies4free streamfree moviez unlock modapk",
+    "malware": "malware phish spam trojan botnet hack hacker exploit verify-account login-secure update-now antivirus-alert keylogger spyware",
+}
+GOOD_WORDS = {
+    "learning": "school college university academy science physics chemistry biology algebra geometry library lecture teacher student research institute journal books docs wiki reading english",
+    "press": "news herald gazette tribune chronicle courier press radio magazine weekly editor report times post paper",
+    "culture": "museum gallery theatre opera concert festival music jazz violin painting poetry novel history archive heritage cinema dance",
+    "home": "garden flowers recipes kitchen baking bread furniture carpet knitting sewing woodwork repair decorating plumbing house family health",
+    "nature": "forest river mountain ocean birds animals farm weather climate geology fishing hiking camping wildlife harvest",
+    "public": "city council court police hospital clinic dentist nursing church parish village county embassy charity transport railway airport harbour station travel",
+    "trade": "bank insurance bakery carpenter engineer architect builder consulting logistics factory machinery software hosting printing packaging accounting",
+    "sport": "football tennis cricket rowing swimming cycling running athletics hockey stadium league chess sailing skiing",
+}
+#: Kinds of paths of each label, and those that tell nothing.
+BAD_PATHS = ("/free-bonus/", "/win-now/", "/bonus-code/", "/cheap-order/", "/buy-online/", "/download-free/", "/live-girls/", "/claim-prize/", "/signin-verify/", "/hot-videos/", "/instant-cash/", "/no-deposit/")
+GOOD_PATHS = ("/about-us/", "/articles/", "/opening-hours/", "/courses/", "/documentation/", "/contact/", "/events/", "/reports/", "/exhibitions/", "/guides/", "/staff/", "/archive/")
+PLAIN_PATHS = ("/", "/en/", "/de/", "/fr/", "/index/", "/page/", "/item/")
+
+
 def labelled_urls() -> list[tuple[str, int]]:
-    """The labelled table, 1 for urls to block: made by rule from words of hosts, with the same additions and kinds of paths for both labels."""
-    bad = ("casino", "poker", "slots", "bets", "betting", "jackpot", "adult", "porn", "xxx", "sexcam", "spam", "pills", "viagra", "payday", "replica", "warez", "torrent", "crack", "malware", "phish")
-    good = ("the", "there", "tion", "thing", "other", "nation", "weather", "library", "museum", "school", "science", "garden", "recipes", "history", "music", "travel", "city", "health", "sport", "books", "docs", "wiki", "herald", "times", "post", "reading", "station", "paper", "english", "under")
-    # additions before and after a word; they tell nothing
-    before = ("", "my", "best", "online-", "super", "e", "all")
-    after = ("", "s", "club", "-x", "24", "hub", "er", "site", "ing", "-house", "land", "king")
-    subs, tops, paths = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org"), ("/en/", "/de/", "/fr/", "/es/", "/")
+    """The labelled table, 1 for urls to block: fifteen or ten urls a word, so that labels balance, with additions that tell nothing; a third of the paths has the label's kind."""
+    before = ("", "my", "best", "online-", "super", "e", "all", "go")
+    after = ("", "s", "club", "-x", "24", "hub", "site", "-house", "land", "king", "world", "zone", "direct")
+    subs, tops = ("", "www.", "m.", "blog."), ("example.com", "example.net", "example.org")
     rows = []
-    for label, words, each in ((1, bad, 15), (0, good, 10)):
-        for i, word in enumerate(words):
+    for label, kinds, own, each in ((1, BAD_WORDS, BAD_PATHS, 15), (0, GOOD_WORDS, GOOD_PATHS, 10)):
+        for i, word in enumerate(" ".join(kinds.values()).split()):
             for j in range(each):
                 k = i * 7 + j * 3
                 host = word if j == 0 else f"{before[k % len(before)]}{word}{after[(k + j) % len(after)]}"
-                rows.append((f"https://{subs[k % 4]}{host}.{tops[k % 3]}{paths[k % 5]}{k * 37 % 999}", label))
+                path = own[(i + j) % len(own)] if j % 3 == 2 else PLAIN_PATHS[k % len(PLAIN_PATHS)]
+                rows.append((f"https://{subs[k % 4]}{host}.{tops[k % 3]}{path}{k * 37 % 999}", label))
     return rows
 
 
@@ -79,7 +103,7 @@ def trained(spark: SparkSession) -> tuple[list[float], float]:
 
 @lru_cache(maxsize=2)
 def _fitted(rows: tuple) -> tuple[list[float], float]:
-    w, bias = linear.fit([(list(at), y) for at, y in rows], 2, SLOTS)
+    w, bias = linear.fit([(list(at), y) for at, y in rows], 2, SLOTS, EPOCHS)
     return [b - a for a, b in zip(*w)], bias[1] - bias[0]
 
 

@@ -489,6 +489,52 @@ def test_urls_that_were_not_learned(spark):
     assert hit / len(bad) >= 0.9 and hit / (hit + false) >= 0.9, (hit / len(bad), hit / (hit + false))
 
 
+#: Words that the labelled table of urls does not have.
+UNSEEN_BAD = "gambling roulette hentai keygen craps sportsbook pokies stripper lesbian swingers milfs xxxtube levitra ambien painkiller anabolic cashadvance richquick hyip airdrop sweepstakes fakerolex bootleg torrents cracks serials warezz ransomware phishing scareware".split()
+UNSEEN_GOOD = "lawyer pottery piano castle orchestra bicycle meadow kindergarten beekeeping astronomy bookshop mathematics cathedral sculpture vegetables surgery veterinary parliament lighthouse joinery upholstery philosophy grammar aquarium ballet marathon gymnastics notary brewery optician".split()
+
+
+def judged(spark, told):
+    """Precision and recall of blocking on hosts of unseen words, with paths that tell, or not."""
+    words = [(w, True) for w in UNSEEN_BAD] + [(w, False) for w in UNSEEN_GOOD]
+    assert not {w for w, _ in words} & set(" ".join([*url_filter.BAD_WORDS.values(), *url_filter.GOOD_WORDS.values()]).split())
+    path = lambda i, bad: f"/{('bonus-free/', 'order-cheap/', 'girls-videos/')[i % 3] if bad else ('article-archive/', 'course-guide/', 'event-report/')[i % 3]}{i}" if told else f"/x/{i}"
+    rows = [(i, f"https://{('www.', '')[i % 2]}{w}.example.{('com', 'net', 'org')[i % 3]}{path(i, bad)}") for i, (w, bad) in enumerate(words)]
+    got = {r.page_id: r.verdict == "block" for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string"), ()).collect()}
+    hit, false = (sum(got[i] for i, (_, bad) in enumerate(words) if bad == kind) for kind in (True, False))
+    return hit / (hit + false), hit / len(UNSEEN_BAD)
+
+
+def test_urls_of_unseen_words(spark):
+    """Hosts of words that are not learned.  Paths made of parts of learned ones decide; by the host alone the classifier is
+    near chance (0.58 and 0.50 when measured, see README), so no bound is set for that."""
+    figures = {told: judged(spark, told) for told in (False, True)}
+    print("precision and recall by host alone, and with a path that tells:", figures)
+    assert min(figures[True]) >= 0.8, figures
+
+
+def test_rules_against_brute_force(spark):
+    """Host, path and rule of all pages by plain Python."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+
+    def plain(url):
+        if url is None or "://" not in url:
+            return "", "", None, None
+        rest = url.split("://", 1)[1]
+        end = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:end])
+        path = re.split("[?#]", rest[end:])[0]
+        fits = [(len(h + p), h + p, a) for h, p, a in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return (host, path, *(max(fits)[1:] if fits else (None, None)))
+
+    urls = {r.page_id: r.url for r in pages.collect()}
+    got = url_filter.judge(pages).collect()
+    assert len(got) == pages.count() and len({r.rule for r in got}) == len(url_filter.RULES) + 1
+    for r in got:
+        host, path, rule, action = plain(urls[r.page_id])
+        assert (r.host, r.path, r.rule) == (host, path, rule) and (action is None or r.verdict == action)
+
+
 def test_chat(spark, monkeypatch):
     conv = lambda i, *turns: [(i, k, "user" if k % 2 == 0 else "assistant", t) for k, t in enumerate(turns)]
     long = [(8, k, "user", str(k) * 5) for k in range(300)]
