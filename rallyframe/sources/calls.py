@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 #: Answers by which a service asks for a new token, and its word for success.
 STALE, SUCCESS = ("Time out.", "no token."), "1"
@@ -26,19 +26,26 @@ def loads(text: str):
 class Poster:
     """POSTs payloads to ``url``; with ``token``, a payload that asks for one, every payload carries it, and a stale one is renewed.
 
-    A failing call is repeated up to ``attempts`` times, after a pause that grows by ``pause`` seconds each time.
+    A failing call is repeated up to ``attempts`` times, after a pause that grows by ``pause`` seconds each time.  Any two calls,
+    those for tokens and repeated ones included, begin at least ``every`` seconds apart.
     """
 
-    def __init__(self, url: str, origin: str = "", agent: str = AGENT, token: str = "", attempts: int = 3, timeout: float = 30, pause: float = 1.5):
+    def __init__(self, url: str, origin: str = "", agent: str = AGENT, token: str = "", attempts: int = 3, timeout: float = 30, pause: float = 1.5, every: float = 0):
         self.url, self.origin, self.agent, self.ask = url, origin, agent, token
         self.attempts, self.timeout, self.pause = int(attempts), float(timeout), float(pause)
+        self.every, self.due = float(every), 0.0
         self.token: str | None = None
 
+    def _wait(self) -> None:
+        time.sleep(max(0.0, self.due - time.monotonic()))
+        self.due = time.monotonic() + self.every
+
     def _post(self, payload: dict) -> str:
         headers = {"Content-Type": "application/json", "User-Agent": self.agent}
         if self.origin:
             headers |= {"Origin": self.origin, "Referer": self.origin + "/"}
         for attempt in range(1, self.attempts + 1):
+            self._wait()
             try:
                 request = urllib.request.Request(self.url, json.dumps(payload, ensure_ascii=False).encode(), headers, method="POST")
                 with urllib.request.urlopen(request, timeout=self.timeout) as answer:
@@ -76,11 +83,15 @@ class Poster:
             return None, f"{type(error).__name__}: {error}"
 
 
-def answers(payloads: DataFrame, url: str, **options) -> DataFrame:
-    """``payloads`` with ``answer`` and ``error`` of a POST of each ``payload``; calls run in the tasks that hold the rows.
+def answers(payloads: DataFrame, url: str, every: float = 0, callers: int = 1, **options) -> DataFrame:
+    """``payloads`` with ``answer`` and ``error`` of a POST of each ``payload``.
 
-    One failing call fails its row only.  Lost tasks call again, so land the answers before they are used.
+    With ``every``, the rows are dealt to ``callers`` tasks, each with a token of its own, that together begin a call every so many seconds
+    on average; without it, calls run at once in the tasks that hold the rows.  One failing call fails its row only.  Lost tasks
+    call again, so land the answers before they are used.
     """
+    if every:
+        payloads, options = payloads.repartition(callers), options | {"every": every * callers}
     names = payloads.columns
     at = names.index("payload")
 
@@ -94,26 +105,48 @@ def answers(payloads: DataFrame, url: str, **options) -> DataFrame:
     return payloads.mapInArrow(run, f"{kept}, answer string, error string")
 
 
-class _Call(InputPartition):
-    def __init__(self, payload: str):
-        self.payload = payload
+class _Calls(InputPartition):
+    def __init__(self, payloads: list[str], round: int = 0):
+        self.payloads, self.round = payloads, round
 
 
-class _Reader(DataSourceReader):
+class _Payloads:
+    """Options of the data sources: those of ``Poster``, ``payloads`` a line each, and ``callers`` if calls have pauses."""
+
     def __init__(self, options: dict):
-        names = {"url": "url", "origin": "origin", "agent": "agent", "token": "token", "attempts": "attempts", "timeout": "timeout", "pause": "pause"}
-        self.options = {names[k]: v for k, v in options.items() if k in names}
+        names = ("url", "origin", "agent", "token", "attempts", "timeout", "pause", "every")
+        self.options = {k: v for k, v in options.items() if k in names}
         self.payloads = options.get("payloads", "{}").split("\n")
+        self.callers = len(self.payloads)
+        if every := float(options.get("every", 0)):
+            self.callers = int(options.get("callers", 1))
+            self.options["every"] = every * self.callers
+
+    def dealt(self, round: int = 0) -> list[_Calls]:
+        return [_Calls(part, round) for i in range(self.callers) if (part := self.payloads[i :: self.callers])]
+
+    def answered(self, partition: _Calls):
+        poster = Poster(**self.options)
+        for payload in partition.payloads:
+            yield payload, *poster.answered(payload)
+
+
+class _Reader(DataSourceReader):
+    def __init__(self, options: dict):
+        self.calls = _Payloads(options)
 
     def partitions(self):
-        return [_Call(p) for p in self.payloads]
+        return self.calls.dealt()
 
     def read(self, partition):
-        yield (partition.payload, *Poster(**self.options).answered(partition.payload))
+        yield from self.calls.answered(partition)
 
 
 class PayloadSource(DataSource):
-    """``spark.read.format("rally_api").option("url", ...).option("payloads", ...)``: (payload, answer, error), one call a partition."""
+    """``spark.read.format("rally_api").option("url", ...).option("payloads", ...)``: (payload, answer, error).
+
+    Without ``every`` each call has a partition; with it ``callers`` partitions share the pauses.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -126,6 +159,51 @@ class PayloadSource(DataSource):
         return _Reader(self.options)
 
 
+class _Poll(DataSourceStreamReader):
+    """Offsets are numbers of periods, so they need no memory: a restart within a polled period calls nothing."""
+
+    def __init__(self, options: dict):
+        self.calls, self.period = _Payloads(options), float(options.get("period", 3600))
+
+    def _now(self) -> int:
+        return int(time.time() // self.period)
+
+    def initialOffset(self) -> dict:
+        return {"round": self._now() - 1}
+
+    def latestOffset(self) -> dict:
+        return {"round": self._now()}
+
+    def partitions(self, start: dict, end: dict):
+        # periods that passed while nobody polled are polled once
+        return self.calls.dealt(end["round"]) if end["round"] > start["round"] else []
+
+    def read(self, partition):
+        for row in self.calls.answered(partition):
+            yield partition.round, *row
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
+class PollSource(DataSource):
+    """``spark.readStream.format("rally_poll")`` with the options of ``rally_api`` and ``period``: (round, payload, answer, error).
+
+    Every ``period`` seconds all payloads are asked once, with pauses as told by ``every``.  A batch that is committed is not asked again
+    after a restart; one that failed before is.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "rally_poll"
+
+    def schema(self) -> str:
+        return "round long, payload string, answer string, error string"
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return _Poll(self.options)
+
+
 def origin_of(url: str) -> str:
     return m[1] if (m := re.match("(https?://[^/]+)", url)) else ""
 

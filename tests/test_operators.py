@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,13 +168,14 @@ class Service:
         import http.server
         import threading
 
-        self.calls, self.tokens, self.headers, self.broken = [], 0, [], set()
+        self.calls, self.tokens, self.headers, self.broken, self.at = [], 0, [], set(), []
         outer = self
 
         class Handler(http.server.BaseHTTPRequestHandler):
             def do_POST(self):
                 body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
                 outer.calls.append(body)
+                outer.at.append(time.monotonic())
                 outer.headers.append(dict(self.headers))
                 self._send(500 if (body.get("api"), body.get("Matchno")) in outer.broken else 200, outer.answer(body).encode())
 
@@ -273,6 +275,50 @@ def test_calls(spark, service):
     assert files.name == "成績.pdf" and files.content.startswith(b"%PDF /a%20b/") and files.length == len(files.content)
 
 
+def test_pauses_over_all_tasks(spark, service):
+    from rallyframe.sources import PayloadSource, answers
+
+    def between():
+        at = sorted(service.at)
+        return [b - a for a, b in zip(at, at[1:])]
+
+    asked = spark.createDataFrame([(json.dumps({"api": "items", "Matchno": str(i)}),) for i in range(4)], "payload string").repartition(4)
+    assert answers(asked, service.base, every=0.3).where("error is null").count() == 4
+    assert len(service.at) == 4 and min(between()) >= 0.25
+    service.at.clear()
+    # two callers: each waits twice as long
+    assert answers(asked, service.base, every=0.2, callers=2).count() == 4
+    assert max(service.at) - min(service.at) >= 0.35
+    service.at.clear()
+    spark.dataSource.register(PayloadSource)
+    lines = "\n".join(r.payload for r in asked.collect())
+    source = spark.read.format("rally_api").option("url", service.base).option("payloads", lines).option("every", "0.3").load()
+    assert source.count() == 4 and min(between()) >= 0.25
+
+
+def test_polling_goes_on_where_it_was(spark, tmp_path, service):
+    from rallyframe.sources import PollSource
+
+    spark.dataSource.register(PollSource)
+    lines = "\n".join(json.dumps({"api": "mlist", "M_Status": s}) for s in "123")
+
+    def polled(period):
+        source = spark.readStream.format("rally_poll").option("url", service.base).option("payloads", lines).option("token", '{"api": "gtoken"}')
+        rows = source.option("every", "0.3").option("period", period).load()
+        q = rows.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c")).start(str(tmp_path / "out"))
+        q.processAllAvailable()
+        q.stop()
+        return spark.read.parquet(str(tmp_path / "out"))
+
+    assert sorted(json.loads(r.payload)["M_Status"] for r in polled("1e9").where("error is null").collect()) == ["1", "2", "3"]
+    calls, at = len(service.calls), sorted(service.at)
+    assert min(b - a for a, b in zip(at, at[1:])) >= 0.25 and service.tokens == 2
+    # a restart in the same period repeats no call; a later period is polled once
+    assert polled("1e9").count() == 3 and len(service.calls) == calls
+    later = polled("5e8")
+    assert later.count() == 6 and later.select("round").distinct().count() == 2
+
+
 def test_command_line():
     from rallyframe.__main__ import parser
 
