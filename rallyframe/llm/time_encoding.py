@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import discard, materialise, scratch
 
 FOLDS = 5
 #: A rate is a share in millionths; the prior counts as much as ``WEIGHT`` lines.
@@ -164,28 +164,40 @@ def encode(lines: DataFrame, sales: DataFrame, items: DataFrame, vendors: DataFr
     tick = 1 if milli else 1000 if second else 1_000_000
     bits = max(1, (((last or 0) - (first or 0)) // tick).bit_length())
     base = base.withColumn("t", F.expr(f"(t - {first or 0}L) div {tick}L"))
+    spark = lines.sparkSession
 
     def of(identity: str, known: DataFrame, value: str) -> DataFrame:
         events = base.groupBy(identity, "t", "fold").agg(*sums)
-        # a table of its own, so that Spark can split the events of a hot id in the join
-        known = materialise(_known(known, identity, value), "known")
-        shared = F.coalesce(F.concat(F.lit("="), F.col(value).cast("string")), F.lit("")).alias(value)
-        return materialise(events.join(known, identity, "left").select(identity, "t", "fold", "n", "s", shared), identity)
-
-    def encoded(events: DataFrame, identity: str, value: str, name: str) -> DataFrame:
-        groups = materialise(events.groupBy(value, "t", "fold").agg(*sums), value)
-        groups = past(groups, value, bits).join(overall, ["t", "fold"])
-        groups = groups.select(value, "t", "fold", rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias("prior"))
-        each = past(events, identity, bits).join(groups, ["t", "fold", value])
-        return each.select(identity, "t", "fold", F.col("past_n").alias(f"{name}_n"), rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias(f"{name}_rate"))
-
-    by_item, by_vendor, by_client = of("item_id", items, "kind"), of("vendor_id", vendors, "nation_id"), of("client_id", clients, "segment")
-    everything = materialise(by_client.groupBy(F.lit(0).alias("one"), "t", "fold").agg(*sums), "everything")
-    overall = past(everything, "one", bits)
-    overall = materialise(overall.select("t", "fold", rate(F.col("past_n"), F.col("past_s"), F.lit(PRIOR).cast("long")).alias("prior")), "overall")
+        with scratch(spark) as keep:
+            # a table of its own, so that Spark can split the events of a hot id in the join
+            known = materialise(_known(known, identity, value), "known")
+            shared = F.coalesce(F.concat(F.lit("="), F.col(value).cast("string")), F.lit("")).alias(value)
+            return keep(materialise(events.join(known, identity, "left").select(identity, "t", "fold", "n", "s", shared), identity))
+
+    def everyone(events: DataFrame) -> DataFrame:
+        with scratch(spark) as keep:
+            everything = materialise(events.groupBy(F.lit(0).alias("one"), "t", "fold").agg(*sums), "everything")
+            rates = past(everything, "one", bits)
+            return keep(materialise(rates.select("t", "fold", rate(F.col("past_n"), F.col("past_s"), F.lit(PRIOR).cast("long")).alias("prior")), "overall"))
+
+    # each step is written, so that no plan holds more than one of them, and what a step wrote for itself goes with it
+    def encoded(events: DataFrame, overall: DataFrame, identity: str, value: str, name: str) -> DataFrame:
+        with scratch(spark) as keep:
+            groups = materialise(events.groupBy(value, "t", "fold").agg(*sums), value)
+            groups = past(groups, value, bits).join(overall, ["t", "fold"])
+            groups = materialise(groups.select(value, "t", "fold", rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias("prior")), "prior")
+            each = past(events, identity, bits).join(groups, ["t", "fold", value])
+            each = each.select(identity, "t", "fold", F.col("past_n").alias(f"{name}_n"), rate(F.col("past_n"), F.col("past_s"), F.col("prior")).alias(f"{name}_rate"))
+            return keep(materialise(each, name))
+
     found = base
-    for events, identity, value in ((by_item, "item_id", "kind"), (by_vendor, "vendor_id", "nation_id"), (by_client, "client_id", "segment")):
-        found = found.join(encoded(events, identity, value, identity.removesuffix("_id")), ["t", "fold", identity])
+    with scratch(spark) as keep:
+        overall = None
+        for known, identity, value in ((clients, "client_id", "segment"), (items, "item_id", "kind"), (vendors, "vendor_id", "nation_id")):
+            events = of(identity, known, value)
+            overall = everyone(events) if overall is None else overall
+            found = found.join(keep(encoded(events, overall, identity, value, identity.removesuffix("_id"))), ["t", "fold", identity])
+            discard(events)
     names = [f"{x}_{y}" for x in ("item", "vendor", "client") for y in ("n", "rate")]
     vendor = F.nullif(F.col("vendor_id"), F.lit(NO_VENDOR)).alias("vendor_id")
     return found.select("sale_id", "item_id", vendor, F.col("n").alias("n_lines"), F.col("s").alias("n_returned"), *names)
