@@ -106,6 +106,52 @@ def refreshed_standings(spark, sf_dir):
     return ingest.refreshed(_documents(spark, sf_dir)).select("openid", "group", F.col("rank").cast("long").alias("rank"), "unit", "source")
 
 
+#: Matches without a group's name, and left sides without a unit and members.
+_GAPS = """, gap AS (SELECT * REPLACE (CASE WHEN CAST(a AS INTEGER)%3=0 THEN '' ELSE ta END AS ta, CASE WHEN CAST(a AS INTEGER)%3=0 THEN '' ELSE ma END AS ma) FROM m WHERE CAST(a AS INTEGER)%4<>1)
+"""
+
+
+@_query(_SQL + _GAPS + _DERIVED.replace("FROM m", "FROM gap") + "SELECT openid, grp AS \"group\", CAST(rank AS BIGINT) AS rank, unit, member AS members FROM d")
+def standings_with_gaps(spark, sf_dir):
+    """Standings where every so often a group has no name or a side is empty: neither gets a rank."""
+    score = lambda m: m["Asidescore"].cast("int")
+
+    def gaps(m):
+        empty = lambda c: F.when(score(m) % 3 == 0, "").otherwise(c)
+        games = F.transform(m["scoreinfo"], lambda g: g.withField("memberA", empty(g["memberA"])))
+        name = F.when(score(m) % 4 == 1, "").otherwise(m["groupName"])
+        return m.withField("groupName", name).withField("teamA", empty(m["teamA"])).withField("scoreinfo", games)
+
+    rows = standings.derive(_documents(spark, sf_dir).withColumn("matches", F.transform("matches", gaps)))
+    return rows.select("openid", "group", F.col("rank").cast("long").alias("rank"), "unit", _joined("members", "|"))
+
+
+@_query(
+    f"""WITH g AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(_ORDER)}) AS r, 'p'||l_partkey%20 AS a, 'p'||l_suppkey%20 AS b, 'q'||l_linenumber AS c, CAST(l_quantity AS BIGINT)%21 AS sa, l_linenumber*3 AS sb FROM lineitem),
+h AS (SELECT *, a='p7' AS left_side, b='p7' AS right_side FROM g WHERE a='p7' OR b='p7'),
+f AS (SELECT k, arg_min(CASE WHEN left_side THEN 'A' ELSE 'B' END, r) AS side FROM h GROUP BY 1),
+o AS (SELECT k, r, side, CASE side WHEN 'A' THEN [] ELSE [c] END AS own, CASE side WHEN 'A' THEN [b, c] ELSE [a] END AS other, CASE side WHEN 'A' THEN sa ELSE sb END AS x, CASE side WHEN 'A' THEN sb ELSE sa END AS y FROM h JOIN f USING (k) WHERE CASE side WHEN 'A' THEN left_side ELSE right_side END)
+SELECT CAST(k AS VARCHAR) AS openid, side, 't'||side AS own_unit, CASE WHEN k%3=0 THEN '—' WHEN (k%3=1)=(side='A') THEN '勝' ELSE '負' END AS result,
+coalesce(array_to_string(list_sort(list_distinct(flatten(list(own)))),','),'') AS partners, array_to_string(list_sort(list_distinct(flatten(list(other)))),',') AS opponents, string_agg(x||':'||y||':'||(x>y), ',' ORDER BY r) AS scores FROM o GROUP BY k, side"""
+)
+def match_logs_of_games(spark, sf_dir):
+    """The log of a player over matches of several games, an order's line items: either side, and only the games on that side."""
+    text = lambda *c: F.concat(*(x.cast("string") if not isinstance(x, str) else F.lit(x) for x in c))
+    number = F.col("l_linenumber")
+    game = F.struct(
+        F.lit(None).cast("string").alias("round"), text("p", F.col("l_partkey") % 20).alias("memberA"), text("p", F.col("l_suppkey") % 20, "/q", number).alias("memberB"),
+        text(F.col("l_quantity").cast("long") % 21).alias("scoreA"), text(number * 3).alias("scoreB"),
+    )
+    rows = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.transform(F.array_sort(F.collect_list(F.struct(*_ORDER, game.alias("g")))), lambda x: x["g"]).alias("scoreinfo"))
+    winner = F.when(F.col("k") % 3 == 0, "").when(F.col("k") % 3 == 1, "A").otherwise("B")
+    none = [F.lit("").alias(c) for c in ("base_group", "matchtype", "date", "time", "HeadGroup", "abstain")]
+    matches = rows.select(F.col("k").cast("string").alias("openid"), F.lit(0).alias("match_pos"), F.lit("tA").alias("teamA"), F.lit("tB").alias("teamB"), winner.alias("winner"), "scoreinfo", *none)
+    log = search.match_log(matches, "p7")
+    score = F.array_join(F.transform("scores", lambda g: F.concat_ws(":", g["own"], g["other"], g["won"].cast("string"))), ",")
+    names = lambda c: F.array_join(F.array_sort(c), ",").alias(c)
+    return log.select("openid", "side", "own_unit", "result", names("partners"), names("opponents"), score.alias("scores"))
+
+
 @_query(_SQL + "SELECT name, openid, coalesce(array_to_string(list_sort(list(DISTINCT unit) FILTER (unit<>'')),','),'') AS units, array_to_string(list_sort(list(DISTINCT grp)),',') AS groups FROM every GROUP BY 1,2")
 def player_index(spark, sf_dir):
     return indexes.players(_documents(spark, sf_dir)).select("name", "openid", _joined("units"), _joined("groups"))
