@@ -10,6 +10,8 @@ from ..functions.names import TEAM
 from . import flatten, postings
 
 SHOWN, PAGE = 60, 150
+#: Members of a group from which on its pairs are not listed.
+HEAVY = 1000
 COLLATION = "zh_Hant"
 
 
@@ -115,6 +117,29 @@ def match_log(matches: DataFrame, name: str) -> DataFrame:
     )
 
 
+def partner_counts(members: DataFrame, group: str, member: str, heavy: int = HEAVY) -> DataFrame:
+    """(member, partners): how many others are in any group with a member, whose ids are whole numbers; members without others have no row.
+
+    Groups of up to ``heavy`` members list their pairs.  Of larger ones, bitmaps of the members are united once for each distinct
+    set of such groups, so that their pairs are never made; pairs of light groups that also meet in a heavy one count once.
+    Rows may repeat; those with a null group or member are left out.
+    """
+    rows = members.select(F.col(group).alias("group"), F.col(member).cast("long").alias("member")).where("group is not null and member is not null").distinct()
+    sizes = rows.groupBy("group").agg(F.count("*").alias("n"))
+    small = rows.join(sizes.where(F.col("n").between(2, heavy)), "group", "left_semi")
+    crowd = rows.join(sizes.where(F.col("n") > heavy), "group", "left_semi")
+    other = lambda df: df.withColumnRenamed("member", "other")
+    light = small.join(other(small), "group").where("member <> other").select("member", "other").distinct()
+    both = light.join(crowd, "member").join(other(crowd), ["group", "other"]).select("member", "other")
+    alone = light.join(both, ["member", "other"], "left_anti").groupBy("member").agg(F.count("*").alias("n"))
+    bits = crowd.groupBy("group", F.bitmap_bucket_number("member").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("member")).alias("bits"))
+    sets = crowd.groupBy("member").agg(F.array_sort(F.collect_set("group")).alias("groups"))
+    united = sets.select("groups").distinct().select("groups", F.explode("groups").alias("group")).join(bits, "group")
+    united = united.groupBy("groups", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")).groupBy("groups").agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    met = sets.join(united, "groups").select("member", (F.col("n") - 1).alias("n"))
+    return alone.unionByName(met).groupBy("member").agg(F.sum("n").alias("partners")).withColumnRenamed("member", member)
+
+
 def player_profile(tables: dict[str, DataFrame], matches: DataFrame, name: str) -> dict[str, DataFrame]:
     """What the page of a player shows: units (more than one may be different people), ranks, history, and the log of all matches."""
     own = tables["players"].where(F.col("name") == name)

@@ -245,6 +245,16 @@ def partners(spark, sf_dir):
     return pairs.groupBy("part").agg(F.count("*").alias("partners")).join(meetings, "part")
 
 
+@_query("""WITH d AS (SELECT DISTINCT 'o'||l_orderkey AS g, l_partkey AS part FROM lineitem UNION SELECT DISTINCT 'q'||CAST(l_quantity AS BIGINT), l_partkey FROM lineitem)
+SELECT a.part, count(DISTINCT b.part) AS partners FROM d a JOIN d b ON a.g=b.g AND a.part<>b.part GROUP BY 1""")
+def crowd_partners(spark, sf_dir):
+    """Others in the same order or with the same quantity: few members a group, and many."""
+    rows = _t(spark, sf_dir, "lineitem")
+    group = lambda kind, c: rows.select(F.concat(F.lit(kind), c.cast("string")).alias("g"), F.col("l_partkey").alias("part"))
+    both = group("o", F.col("l_orderkey")).unionByName(group("q", F.col("l_quantity").cast("bigint")))
+    return search.partner_counts(both, "g", "part", heavy=50)
+
+
 @_query("""SELECT l_orderkey, arg_min(l_returnflag, (l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag)) AS side FROM lineitem WHERE l_returnflag IN ('A','R') GROUP BY 1""")
 def side_choice(spark, sf_dir):
     """The flag of the earliest row; line numbers repeat, so more columns decide ties."""

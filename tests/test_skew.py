@@ -95,3 +95,23 @@ def test_variants_by_the_rarest_pair(spark):
     units = sorted({r.unit for r in few.collect()})
     want = {(a, b) for a in units for b in units if a != b and (a in b or (len(a) >= 2 and b in a))}
     assert {tuple(r) for r in search.variants(few).collect()} == want
+
+
+def test_partners_of_a_large_group(spark):
+    """One group of 30,000, a smaller one of heavy size, and pairs inside and outside them."""
+    large = [(0, i) for i in range(30_000)]
+    heavy = [(1, i) for i in range(29_990, 30_100)]
+    light = [(2, 5), (2, 6), (3, 5), (3, 50_000), (3, None), (None, 5), (4, 7), (4, 60_000), (4, 60_000), (5, 70_000), (6, -3), (6, 29_995)]
+    rows = spark.createDataFrame(large + heavy + light, "g int, m long")
+    got = {r.m: r.partners for r in search.partner_counts(rows, "g", "m", heavy=100).collect()}
+    groups = {}
+    for g, m in large + heavy + light:
+        if g is not None and m is not None:
+            groups.setdefault(g, set()).add(m)
+    of = {}
+    for g, ms in groups.items():
+        for m in ms:
+            of.setdefault(m, []).append(g)
+    want = {m: len(set().union(*(groups[g] for g in gs))) - 1 if len(gs) > 1 else len(groups[gs[0]]) - 1 for m, gs in of.items()}
+    assert got == {m: n for m, n in want.items() if n}
+    assert search.partner_counts(rows.limit(0), "g", "m").count() == 0
