@@ -26,6 +26,7 @@ from .names import (
     grade_tag,
     group_tags,
     is_promoted,
+    let,
     level_tag,
     member_units,
     nz,

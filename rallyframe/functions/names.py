@@ -17,7 +17,12 @@ REGULATION_TITLES = "規程|簡章|章程|競賽辦法"
 OTHER_SPORTS = "匹克球|桌球|研習|裁判|柔道"
 UNIT_JOINER = "／"
 # Separators of member names, as the index and the match display split them.
-SEPARATORS = {"index": "[-/、,]", "display": "[-/、,，]"}
+SEPARATORS = {"index": "-、,", "display": "-、,，"}  # and the slash
+
+
+def let(value: Column, use) -> Column:
+    """``use`` of ``value``, which is made once, however often it is used: Spark makes a column anew at each use inside a lambda."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def nz(c: Column) -> Column:
@@ -42,7 +47,9 @@ def base_group(c: Column) -> Column:
 
 def split_members(c: Column, flavour: str = "index") -> Column:
     """Array of single names; the display also splits at the full-width comma."""
-    return F.filter(F.transform(F.split(nz(c), SEPARATORS[flavour]), utrim), lambda x: x != "")
+    # one separator for all: Java compiles a pattern of several at each call
+    same = F.translate(nz(c), SEPARATORS[flavour], "/" * len(SEPARATORS[flavour]))
+    return F.filter(F.transform(F.split(same, "/"), utrim), lambda x: x != "")
 
 
 def category_of(name: Column) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import base_group, nz, side_members, split_members
+from ..functions import base_group, let, nz, side_members, split_members
 
 
 def tournaments(docs: DataFrame) -> DataFrame:
@@ -45,6 +45,30 @@ def sides(matches_: DataFrame) -> DataFrame:
     return matches_.select("openid", "match_pos", "base_group", "matchtype", "winner", F.inline(both))
 
 
+def listed(column: str) -> Column:
+    """The list of a document; a missing one is empty."""
+    return F.coalesce(F.col(column), F.array())
+
+
+def _own_unit(units: Column, unit: Column, pos: Column) -> Column:
+    """A member has its own unit by position; only a missing position takes the row's."""
+    return F.when(F.coalesce(F.size(units), F.lit(0)) > pos, nz(F.get(units, pos))).otherwise(nz(unit))
+
+
+def names() -> Column:
+    """Array of (name, unit, group) inside a document's row: each name of each side of each game, and of each standing."""
+    told = lambda texts, unit, group: F.transform(split_members(texts), lambda n: F.struct(n.alias("name"), unit.alias("unit"), group.alias("group")))
+
+    def match(m):
+        games = lambda group: F.flatten(F.transform(F.coalesce(m["scoreinfo"], F.array()), lambda g: F.concat(*(told(g[f"member{s}"], nz(m[f"team{s}"]), group) for s in "AB"))))
+        return let(base_group(m["groupName"]), games)
+
+    def standing(s):
+        return F.flatten(F.transform(F.coalesce(s["members"], F.array()), lambda x, i: told(x, _own_unit(s["memberUnits"], s["unit"], i), s["group"])))
+
+    return F.concat(F.flatten(F.transform(listed("matches"), match)), F.flatten(F.transform(listed("standings"), standing)))
+
+
 def match_names(docs: DataFrame) -> DataFrame:
     """(openid, name, unit, group): each name of each side of each game."""
     rows = matches(docs).select("openid", "base_group", "teamA", "teamB", F.explode("scoreinfo").alias("g"))
@@ -55,5 +79,5 @@ def match_names(docs: DataFrame) -> DataFrame:
 def standing_names(docs: DataFrame) -> DataFrame:
     """(openid, name, unit, group, rank): a member has its own unit by position; only a missing position takes the row's."""
     rows = standings(docs).select("openid", "standing_pos", "group", "rank", "unit", "memberUnits", F.posexplode("members").alias("pos", "member"))
-    at = F.when(F.coalesce(F.size("memberUnits"), F.lit(0)) > F.col("pos"), nz(F.get("memberUnits", F.col("pos")))).otherwise(nz(F.col("unit")))
+    at = _own_unit(F.col("memberUnits"), F.col("unit"), F.col("pos"))
     return rows.select("openid", "standing_pos", F.explode(split_members(F.col("member"))).alias("name"), at.alias("unit"), "group", "rank")
