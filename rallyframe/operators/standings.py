@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import base_group, entry_key, group_tags, is_promoted, member_units, nz, safe_int, side_members, unit_text, utrim
+from ..functions import base_group, entry_key, group_tags, is_promoted, let, member_units, nz, safe_int, side_members, unit_text, utrim
 from ..sources.schemas import STANDING
 from . import flatten
 
@@ -13,13 +13,16 @@ from . import flatten
 FINALS, THIRD, ROUND_ROBIN = ("R2", "F2"), "R34", ("F3", "F4")
 
 
+#: An array of standings that has none.
+_NONE = "array<struct<group:string,rank:int,unit:string,members:array<string>,there:boolean>>"
+
+
 def _bracket(matches: Column, group: Column, first: int) -> Column:
     """Both sides of the only match, the winner's first."""
-    m = F.get(matches, 0)
-    row = lambda side, rank: F.struct(group.alias("group"), F.lit(rank).alias("rank"), side["unit"].alias("unit"), side["members"].alias("members"), side["there"].alias("there"))
-    won = F.when(m["winner"] == "A", m["A"]).otherwise(m["B"])
-    lost = F.when(m["winner"] == "A", m["B"]).otherwise(m["A"])
-    return F.filter(F.array(row(won, first), row(lost, first + 1)), lambda r: r["there"])
+    row = lambda side, rank: F.struct(group.alias("group"), rank.alias("rank"), side["unit"].alias("unit"), side["members"].alias("members"), side["there"].alias("there"))
+    won = lambda m: F.when(m["winner"] == "A", F.array(m["A"], m["B"])).otherwise(F.array(m["B"], m["A"]))
+    sides = let(F.get(matches, 0), won)
+    return F.filter(F.transform(sides, lambda side, i: row(side, i + first)), lambda r: r["there"])
 
 
 def _table(matches: Column, group: Column) -> Column:
@@ -29,15 +32,16 @@ def _table(matches: Column, group: Column) -> Column:
         one = lambda s, o: F.struct(m[s]["there"].alias("there"), m[s]["key"].alias("key"), m[s]["unit"].alias("unit"), m[s]["members"].alias("members"), (m["winner"] == s).cast("long").alias("win"), F.coalesce(m[s]["score"] - m[o]["score"], F.lit(0)).alias("difference"))
         return F.array(one("A", "B"), one("B", "A"))
 
-    played = F.filter(F.flatten(F.transform(matches, sides)), lambda s: s["there"])
-
-    def entry(key, i):
-        own = F.filter(played, lambda s: s["key"] == key)
+    def entry(own, i):
         total = lambda field: F.aggregate(own, F.lit(0).cast("long"), lambda x, s: x + s[field])
         return F.struct((-total("win")).alias("w"), (-total("difference")).alias("d"), i.alias("i"), F.get(own, 0)["unit"].alias("unit"), F.get(own, 0)["members"].alias("members"))
 
-    entries = F.array_sort(F.transform(F.array_distinct(F.transform(played, lambda s: s["key"])), entry))
-    return F.transform(entries, lambda e, i: F.struct(group.alias("group"), (i + 1).alias("rank"), e["unit"].alias("unit"), e["members"].alias("members"), F.lit(True).alias("there")))
+    def entries(played):
+        keys = F.array_distinct(F.transform(played, lambda s: s["key"]))
+        return F.sort_array(F.transform(keys, lambda key, i: let(F.filter(played, lambda s: s["key"] == key), lambda own: entry(own, i))))
+
+    made = let(F.filter(F.flatten(F.transform(matches, sides)), lambda s: s["there"]), entries)
+    return F.transform(made, lambda e, i: F.struct(group.alias("group"), (i + 1).alias("rank"), e["unit"].alias("unit"), e["members"].alias("members"), F.lit(True).alias("there")))
 
 
 def derived(matches: Column) -> Column:
@@ -45,25 +49,26 @@ def derived(matches: Column) -> Column:
 
     def told(m):
         def side(s):
-            unit, members = nz(m[f"team{s}"]), side_members(m["scoreinfo"], s)
-            return F.struct(((unit != "") | (F.size(members) > 0)).alias("there"), entry_key(unit, members).alias("key"), unit.alias("unit"), members.alias("members"), safe_int(m[f"{s}sidescore"]).alias("score"))
+            unit = nz(m[f"team{s}"])
+            of = lambda members: F.struct(((unit != "") | (F.size(members) > 0)).alias("there"), entry_key(unit, members).alias("key"), unit.alias("unit"), members.alias("members"), safe_int(m[f"{s}sidescore"]).alias("score"))
+            return let(side_members(m["scoreinfo"], s), of)
 
         return F.struct(base_group(m["groupName"]).alias("group"), utrim(nz(m["matchtype"])).alias("kind"), m["winner"].alias("winner"), F.coalesce(m["winner"].isin("A", "B"), F.lit(False)).alias("decided"), side("A").alias("A"), side("B").alias("B"))
 
     all_matches = F.filter(F.transform(F.coalesce(matches, F.array()), told), lambda m: m["group"] != "")
 
-    def of(group, all_):
-        own = F.filter(all_, lambda m: m["group"] == group)
-        finals = F.filter(own, lambda m: m["decided"] & m["kind"].isin(*FINALS))
+    none = F.array().cast(_NONE)
+
+    def of(group, own):
+        podium = lambda finals, thirds: F.concat(_bracket(finals, group, 1), F.when(F.size(thirds) == 1, _bracket(thirds, group, 3)).otherwise(none))
+        table = lambda rounds: F.when((F.size(rounds) > 0) & F.forall(rounds, lambda m: m["decided"]), _table(rounds, group)).otherwise(none)
         thirds = F.filter(own, lambda m: m["decided"] & (m["kind"] == THIRD))
         rounds = F.filter(own, lambda m: m["kind"].isin(*ROUND_ROBIN))
-        table = _table(rounds, group)
-        none = F.slice(table, 1, 0)
-        podium = F.concat(_bracket(finals, group, 1), F.when(F.size(thirds) == 1, _bracket(thirds, group, 3)).otherwise(none))
-        return F.when(F.size(finals) == 1, podium).when((F.size(rounds) > 0) & F.forall(rounds, lambda m: m["decided"]), table).otherwise(none)
+        ranked = lambda finals: F.when(F.size(finals) == 1, let(thirds, lambda t: podium(finals, t))).otherwise(let(rounds, table))
+        return let(F.filter(own, lambda m: m["decided"] & m["kind"].isin(*FINALS)), ranked)
 
-    # the matches as told go through an array of one, so that they are made once
-    return F.flatten(F.flatten(F.transform(F.array(all_matches), lambda x: F.transform(F.array_distinct(F.transform(x, lambda m: m["group"])), lambda g: of(g, x)))))
+    groups = lambda x: F.array_distinct(F.transform(x, lambda m: m["group"]))
+    return F.flatten(let(all_matches, lambda x: F.transform(groups(x), lambda g: let(F.filter(x, lambda m: m["group"] == g), lambda own: of(g, own)))))
 
 
 def derive(docs: DataFrame) -> DataFrame:
