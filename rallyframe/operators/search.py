@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import base_group, format_date, game_outcome, nz, result_label, split_members
 from ..functions.names import TEAM
+from ..sources.store import written
 from . import flatten, postings
 
 SHOWN, PAGE = 60, 150
 #: Members of a group from which on its pairs are not listed.
 HEAVY = 1000
+#: Sets of large groups that a task holds of either side, and rows of them that it compares at a time.
+BLOCK, TILE = 16_384, 256
 COLLATION = "zh_Hant"
 
 
@@ -117,26 +122,61 @@ def match_log(matches: DataFrame, name: str) -> DataFrame:
     )
 
 
+def _masks(crowd: DataFrame, large: DataFrame) -> DataFrame:
+    """(member, mask): the large groups of each member as bits, an array of (word, bits) in order; each group has one bit of a word."""
+    bit = F.pmod(F.xxhash64("group"), F.lit(64)).cast("int")
+    numbered = large.select("group", bit.alias("bit")).withColumn("word", F.row_number().over(Window.partitionBy("bit").orderBy("group")) - 1)
+    words = crowd.join(numbered, "group").groupBy("member", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    return words.groupBy("member").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("mask"))
+
+
+def _met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """(set, n): how many members of ``right`` share a group with each set of ``left``; both have set, members, word and bits."""
+    left_sets, left_at = np.unique(left["set"].to_numpy(), return_inverse=True)
+    right_sets, first, right_at = np.unique(right["set"].to_numpy(), return_index=True, return_inverse=True)
+    members = right["members"].to_numpy()[first].astype(np.float64)
+    sides = [(at, df["word"].to_numpy(), df["bits"].to_numpy()) for at, df in ((left_at, left), (right_at, right))]
+    words = np.intersect1d(sides[0][1], sides[1][1])
+    (la, lb), (ra, rb) = ([{w: x[word == w] for w in words} for x in (at, bits)] for at, word, bits in sides)
+    n = np.zeros(len(left_sets))
+    for start in range(0, len(left_sets), TILE):
+        meet = np.zeros((min(TILE, len(left_sets) - start), len(right_sets)), bool)
+        for w in words:
+            mine = (la[w] >= start) & (la[w] < start + TILE)
+            meet[np.ix_(la[w][mine] - start, ra[w])] |= (lb[w][mine][:, None] & rb[w][None, :]) != 0
+        n[start : start + TILE] = meet @ members
+    return pd.DataFrame({"set": left_sets, "n": n.astype(np.int64)})
+
+
+def _united(sets: DataFrame) -> DataFrame:
+    """(set, n): how many members share a large group with each set of (set, mask, members), itself included; blocks of sets meet pair by pair."""
+    blocks = max(2, -(-sets.count() // BLOCK))
+    rows = sets.select("set", "members", F.pmod(F.xxhash64("set"), F.lit(blocks)).cast("int").alias("own"), F.inline("mask"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = rows.withColumnRenamed("own", "i").withColumn("j", every).groupBy("i", "j")
+    right = rows.withColumnRenamed("own", "j").withColumn("i", every).groupBy("i", "j")
+    return left.cogroup(right).applyInPandas(lambda a, b: _met(a, b), "set long, n long").groupBy("set").agg(F.sum("n").alias("n"))
+
+
 def partner_counts(members: DataFrame, group: str, member: str, heavy: int = HEAVY) -> DataFrame:
     """(member, partners): how many others are in any group with a member, whose ids are whole numbers; members without others have no row.
 
-    Groups of up to ``heavy`` members list their pairs.  Of larger ones, bitmaps of the members are united once for each distinct
-    set of such groups, so that their pairs are never made; pairs of light groups that also meet in a heavy one count once.
+    Groups of up to ``heavy`` members list their pairs, those left out that also meet in a larger group: each row carries the
+    larger groups of its member as bits.  Partners in larger groups are counted once for each distinct set of such groups, by
+    the bits of all such sets, so that pairs of members are never made; blocks of sets bound the memory of a task.
     Rows may repeat; those with a null group or member are left out.
     """
     rows = members.select(F.col(group).alias("group"), F.col(member).cast("long").alias("member")).where("group is not null and member is not null").distinct()
     sizes = rows.groupBy("group").agg(F.count("*").alias("n"))
-    small = rows.join(sizes.where(F.col("n").between(2, heavy)), "group", "left_semi")
-    crowd = rows.join(sizes.where(F.col("n") > heavy), "group", "left_semi")
-    other = lambda df: df.withColumnRenamed("member", "other")
-    light = small.join(other(small), "group").where("member <> other").select("member", "other").distinct()
-    both = light.join(crowd, "member").join(other(crowd), ["group", "other"]).select("member", "other")
-    alone = light.join(both, ["member", "other"], "left_anti").groupBy("member").agg(F.count("*").alias("n"))
-    bits = crowd.groupBy("group", F.bitmap_bucket_number("member").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("member")).alias("bits"))
-    sets = crowd.groupBy("member").agg(F.array_sort(F.collect_set("group")).alias("groups"))
-    united = sets.select("groups").distinct().select("groups", F.explode("groups").alias("group")).join(bits, "group")
-    united = united.groupBy("groups", "bucket").agg(F.bitmap_or_agg("bits").alias("bits")).groupBy("groups").agg(F.sum(F.bitmap_count("bits")).alias("n"))
-    met = sets.join(united, "groups").select("member", (F.col("n") - 1).alias("n"))
+    large = sizes.where(F.col("n") > heavy).select("group")
+    masks = written(_masks(rows.join(large, "group", "left_semi"), large), "masks")
+    small = rows.join(sizes.where(F.col("n").between(2, heavy)), "group", "left_semi").join(masks, "member", "left").select("group", "member", "mask")
+    other = small.select("group", F.col("member").alias("other"), F.col("mask").alias("other_mask"))
+    shared = lambda a: F.exists("other_mask", lambda b: (a["word"] == b["word"]) & (a["bits"].bitwiseAND(b["bits"]) != 0))
+    light = small.join(other, "group").where((F.col("member") != F.col("other")) & ~F.coalesce(F.exists("mask", shared), F.lit(False)))
+    alone = light.select("member", "other").distinct().groupBy("member").agg(F.count("*").alias("n"))
+    sets = written(masks.groupBy("mask").agg(F.count("*").alias("members")).withColumn("set", F.monotonically_increasing_id()), "sets")
+    met = masks.join(sets.join(_united(sets), "set").select("mask", "n"), "mask").select("member", (F.col("n") - 1).alias("n"))
     return alone.unionByName(met).groupBy("member").agg(F.sum("n").alias("partners")).withColumnRenamed("member", member)
 
 
