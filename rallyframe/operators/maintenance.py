@@ -8,16 +8,16 @@ from ..sources.store import Store
 from . import indexes
 
 
-def follow(store: Store, documents: DataFrame, batch: tuple[str, int] | None = None) -> int:
+def follow(store: Store, documents: DataFrame, batch: tuple[str, int] | None = None, dealt: bool = False) -> int:
     """Puts ``documents``, one row an openid, in: what their openids had in any table goes, and what they have now comes; the version.
 
-    Only the rows of the batch are derived and written; indexes are derived from the documents' files.  ``batch`` (stream,
-    number) makes a repeated call change nothing.
+    Only the rows of the batch are derived and written; indexes are derived from the documents' files, bucket by bucket, without a
+    shuffle.  ``batch`` (stream, number) makes a repeated call change nothing.  ``dealt``: ``documents`` were shuffled by openid alone.
     """
     if batch and store.manifest()["ledger"].get(batch[0], -1) >= batch[1]:
         return store.manifest()["version"]
-    written = store.stage("documents", documents)
-    return store.apply({"documents": written, **indexes.build(written)}, keys=written.select("openid"), batch=batch)
+    written = store.stage("documents", documents, dealt=dealt)
+    return store.apply({"documents": written, **indexes.build(written)}, keys=written, batch=batch, derived=True)
 
 
 def rebuilt(store: Store, version: int | None = None) -> dict[str, DataFrame]:

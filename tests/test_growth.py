@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rallyframe.operators import indexes, search, standings
+from rallyframe.operators import indexes, maintenance, search, standings
 from rallyframe.plans import documents
+from rallyframe.sources import Store
 from rallyframe.sources.schemas import MATCH, STANDING
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,3 +54,51 @@ def test_partners_in_many_large_groups_by_blocks_of_sets(spark, monkeypatch):
     got = search.partner_counts(df, "g", "m", heavy=4)
     assert {r.m: r.partners for r in got.collect()} == {m: len(x) for m, x in want.items() if x}
     assert "bitmap" not in plan(got)[0]
+
+
+def stored(folder):
+    return {str(f.relative_to(folder)) for f in folder.rglob("*.parquet")}
+
+
+def same(a, b):
+    return sorted(map(repr, a.select(sorted(a.columns)).collect())) == sorted(map(repr, b.select(sorted(a.columns)).collect()))
+
+
+def test_first_load_is_taken_as_it_is_and_keys_are_written_once(spark, tmp_path):
+    """Settling the first load writes nothing, keys are those of the documents' files, and the newest rows are read without a join."""
+    match = [{"groupName": "g[1]", "teamA": "u1", "teamB": "u2", "scoreinfo": [{"memberA": "p/q", "memberB": " r"}]}]
+    schema = f"openid string, name string, city string, status string, registerStart string, registerEnd string, dateStart string, dateEnd string, venue string, category string, isSystem boolean, groups array<string>, regulation string, matches array<{MATCH}>, standings array<{STANDING}>"
+    docs = spark.createDataFrame([{"openid": str(i), "matches": match if i % 3 else []} for i in range(40)], schema)
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None)
+    store = Store(spark, str(tmp_path / "s"), buckets=4)
+    maintenance.follow(store, docs.where("openid < '3'").repartition("openid"), ("x", 0), dealt=True)
+    before = stored(tmp_path)
+    assert store.settle() == 2 and stored(tmp_path) == before
+    assert all(not t["deltas"] and t["bases"] for t in store.manifest()["tables"].values())
+    maintenance.follow(store, docs.where("openid > '25'").withColumn("matches", F.array().cast(docs.schema["matches"].dataType)), ("x", 1))
+    for name, rows in maintenance.rebuilt(store).items():
+        assert same(store.read(name), rows), name
+    assert {r.openid for r in store.read("players").collect()} == {str(i) for i in range(40) if i % 3 and str(i) <= "25"}
+    assert not any("-keys" in f for f in stored(tmp_path))
+    assert plan(store.read("documents"))[0].count("Join") == 1 and "Aggregate" not in plan(store.read("documents"))[0]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == writers
+
+
+def test_bucket_that_lost_all_its_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"), buckets=2)
+    store.apply({"t": spark.createDataFrame([("a", 1), ("b", 2)], "openid string, v long")})
+    store.settle()
+    store.apply({"t": spark.createDataFrame([], "openid string, v long")}, keys=spark.createDataFrame([("a",), ("b",)], "openid string"))
+    store.deltas = 0
+    store.settle()
+    assert store.read("t").count() == 0 and store.lookup("t", "a").count() == 0
+
+
+@there
+def test_line_items_are_shuffled_as_rows(spark):
+    """Nothing is collected, and so sorted, before the shuffle; rows of orders that are not wanted are left out before it."""
+    text = plan(documents._items(spark.read.parquet(f"{FOLDER}/lineitem.parquet")))[1]
+    assert text.index("Aggregate") < text.index("Exchange") and "Aggregate" not in text[text.index("Exchange") :]
+    some = documents._documents(spark, FOLDER, wanted=lambda k: k % 4 == 0, played=lambda k: k % 8 == 0)
+    every = documents._documents(spark, FOLDER).where("openid % 4 = 0")
+    assert same(some.select("openid", (F.size("matches") > 0).alias("there")), every.select("openid", ((F.size("matches") > 0) & F.when(F.col("openid") % 8 == 0, True)).alias("there")))
