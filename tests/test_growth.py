@@ -102,3 +102,14 @@ def test_line_items_are_shuffled_as_rows(spark):
     some = documents._documents(spark, FOLDER, wanted=lambda k: k % 4 == 0, played=lambda k: k % 8 == 0)
     every = documents._documents(spark, FOLDER).where("openid % 4 = 0")
     assert same(some.select("openid", (F.size("matches") > 0).alias("there")), every.select("openid", ((F.size("matches") > 0) & F.when(F.col("openid") % 8 == 0, True)).alias("there")))
+
+
+def test_a_store_keeps_the_indexes_it_began_with(spark, tmp_path, monkeypatch):
+    """followed_ranks makes no index but its own; a store of some indexes goes on with these."""
+    docs = spark.createDataFrame([("1", [{"group": "g", "rank": 1, "unit": "u", "members": ["a"]}])], f"openid string, standings array<{STANDING}>")
+    docs = docs.withColumns({c: F.lit(None).cast(t) for c, t in {"matches": f"array<{MATCH}>", "groups": "array<string>", "regulation": "string"}.items()})
+    store = Store(spark, str(tmp_path / "s"), buckets=2)
+    maintenance.follow(store, docs, ("x", 0), names=("ranks",))
+    maintenance.follow(store, docs.withColumn("openid", F.lit("2")), ("x", 1))
+    assert set(store.manifest()["tables"]) == {"documents", "ranks"} and set(maintenance.rebuilt(store)) == {"ranks"}
+    assert {(r.name, r.openid) for r in store.read("ranks").collect()} == {("a", "1"), ("a", "2")}
