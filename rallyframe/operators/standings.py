@@ -99,7 +99,9 @@ def with_precedence(stored: DataFrame, derived: DataFrame) -> DataFrame:
 def apply_import(stored: DataFrame, entries: DataFrame) -> DataFrame:
     """``stored`` rows of groups that are not imported, and the imported ones; applying it twice changes nothing."""
     new = built_entries(entries)
-    kept = stored.join(new.select("openid", "group").distinct(), ["openid", "group"], "left_anti")
+    # joined by the openid alone, which the window needs as well: rows that are dealt by it are not shuffled again
+    gone = new.groupBy("openid").agg(F.collect_set("group").alias("_gone"))
+    kept = stored.join(gone, "openid", "left").where(~F.coalesce(F.array_contains("_gone", F.col("group")), F.lit(False))).drop("_gone")
     last = Window.partitionBy("openid").orderBy("group", "rank", "age", "position")
     place = lambda *c: F.struct(*(F.col(x).cast("long").alias(f"p{i}") for i, x in enumerate(c)))
     kept = kept.withColumn("age", F.lit(0)).withColumn("position", place("standing_pos", "standing_pos"))

@@ -113,3 +113,21 @@ def test_a_store_keeps_the_indexes_it_began_with(spark, tmp_path, monkeypatch):
     maintenance.follow(store, docs.withColumn("openid", F.lit("2")), ("x", 1))
     assert set(store.manifest()["tables"]) == {"documents", "ranks"} and set(maintenance.rebuilt(store)) == {"ranks"}
     assert {(r.name, r.openid) for r in store.read("ranks").collect()} == {("a", "1"), ("a", "2")}
+
+
+@there
+def test_import_shuffles_line_items_and_keys_only(spark):
+    """Texts of entries and standings are made after the shuffle; nothing is dealt by openid and group."""
+    text = plan(documents.imported_standings(spark, FOLDER))[1]
+    dealt = {line[line.index("hashpartitioning(") :].split("), ")[0] for line in text.split("\n") if "Exchange hashpartitioning" in line}
+    assert dealt and all("," not in d.rsplit(",", 1)[0] for d in dealt), dealt
+    assert "/p" not in documents._entries(spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_import_of_null_groups_and_openids(spark):
+    """A stored row without a group stays, and so does one without an openid."""
+    stored = spark.createDataFrame([("1", 0, None, 1), ("1", 1, "g", 1), ("1", 2, "h", 1), (None, 0, "g", 1), ("2", 0, "g", 1)], "openid string, standing_pos int, group string, rank int")
+    entries = spark.createDataFrame([("1", "g"), ("1", None), (None, "g"), ("3", "g")], "openid string, group string")
+    entries = entries.select("openid", F.lit("c").alias("category"), "group", F.lit(0).alias("event_pos"), F.lit(0).alias("entry_pos"), F.lit(2).alias("rank"), F.array(F.lit("u")).alias("units"), F.array(F.lit("m")).alias("members"))
+    got = {(r.openid, r.group, r["rank"], r.standing_pos) for r in standings.apply_import(stored, entries).collect()}
+    assert got == {("1", None, 1, 0), ("1", None, 2, 1), ("1", "g", 2, 2), ("1", "h", 1, 3), (None, "g", 1, 0), (None, "g", 2, 1), ("2", "g", 1, 0), ("3", "g", 2, 0)}
