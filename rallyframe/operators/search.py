@@ -42,9 +42,14 @@ def _named(rows: DataFrame, column: str, query: str) -> DataFrame:
 
 def players_with(players: DataFrame, ranks: DataFrame, query: str) -> DataFrame:
     """(name, units, tournaments, ranks) of all names with the text: the first three units by tournament; blank text finds nothing."""
-    hit = _named(players, "name", query)
-    first = F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("openid", "units"))), lambda x: x["units"])))
-    people = hit.groupBy("name").agg(F.array_join(F.slice(first, 1, 3), "、").alias("units"), F.count_distinct("openid").alias("tournaments"))
+    # a row for each tournament and one for each unit of a name, so that no list has all tournaments of a name
+    row = lambda openid, unit, first: F.struct(openid.alias("openid"), unit.alias("unit"), first.alias("first"))
+    first = lambda i: F.struct("openid", "units", i.alias("i"))
+    none = F.lit(None)
+    told = F.concat(F.array(row(F.col("openid"), none.cast("string"), F.when(F.lit(False), first(F.lit(0))))), F.transform("units", lambda u, i: row(none.cast("string"), u, first(i))))
+    rows = _named(players, "name", query).select("name", F.inline(told)).groupBy("name", "openid", "unit").agg(F.min("first").alias("first"))
+    units = F.slice(F.array_sort(F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "unit")))), 1, 3)
+    people = rows.groupBy("name").agg(F.array_join(F.transform(units, lambda x: x["unit"]), "、").alias("units"), F.count("openid").alias("tournaments"))
     placed = _named(ranks, "name", query).groupBy("name").agg(F.count("*").alias("ranks"))
     return people.join(placed, "name", "left").withColumn("ranks", F.coalesce("ranks", F.lit(0)))
 

@@ -56,6 +56,31 @@ def test_partners_in_many_large_groups_by_blocks_of_sets(spark, monkeypatch):
     assert "bitmap" not in plan(got)[0]
 
 
+def test_found_players_list_no_tournaments(spark):
+    """What comes together for a name is its distinct units, however many tournaments it has."""
+    rng = random.Random(5)
+    rows = [(rng.choice(("p1", "p10", "xp1", "q")), f"t{rng.randrange(40)}", sorted(rng.sample("abcdefg", rng.randrange(4)))) for _ in range(300)] + [("p19", "t1", []), ("p19", "t2", [])]
+    ranks = [("p1",)] * 3 + [("q",)]
+    want = {}
+    for name, openid, units in sorted(rows):
+        if "p1" in name:
+            seen, ids = want.setdefault(name, ([], set()))
+            seen += [u for u in units if u not in seen]
+            ids.add(openid)
+    got = search.players_with(spark.createDataFrame(rows, "name string, openid string, units array<string>"), spark.createDataFrame(ranks, "name string"), "p1")
+    assert {tuple(r) for r in got.collect()} == {(n, "、".join(u[:3]), len(i), 3 if n == "p1" else 0) for n, (u, i) in want.items()}
+    aggregates = [line for line in plan(got)[0].split("\n") if "Aggregate" in line]
+    assert aggregates and not any("collect_list(struct(openid" in line for line in aggregates)
+
+
+@there
+def test_only_asked_names_are_sorted(spark):
+    docs = documents._documents(spark, FOLDER)
+    asked = lambda name: name.contains("p1")
+    got, want = indexes.players(docs, asked), indexes.players(docs).where(asked(F.col("name")))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
 def stored(folder):
     return {str(f.relative_to(folder)) for f in folder.rglob("*.parquet")}
 
