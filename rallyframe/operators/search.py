@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,11 +15,19 @@ from ..functions.names import TEAM
 from ..sources.store import written
 from . import flatten, postings
 
+# executors need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SHOWN, PAGE = 60, 150
 #: Members of a group from which on its pairs are not listed.
 HEAVY = 1000
 #: Sets of large groups that a task holds of either side, and rows of them that it compares at a time.
 BLOCK, TILE = 16_384, 256
+#: Words of 64 large groups up to which sets are split by their groups; sets that a task then holds of either side, and pairs of
+#: them that are compared one by one.
+WORDS, HELD, LEAF = 8, 65_536, 1 << 18
+#: Large groups that are numbered in one task.
+NUMBERED = 4096
 COLLATION = "zh_Hant"
 
 
@@ -127,12 +138,14 @@ def match_log(matches: DataFrame, name: str) -> DataFrame:
     )
 
 
-def _masks(crowd: DataFrame, large: DataFrame) -> DataFrame:
-    """(member, mask): the large groups of each member as bits, an array of (word, bits) in order; each group has one bit of a word."""
-    bit = F.pmod(F.xxhash64("group"), F.lit(64)).cast("int")
-    numbered = large.select("group", bit.alias("bit")).withColumn("word", F.row_number().over(Window.partitionBy("bit").orderBy("group")) - 1)
+def _masks(crowd: DataFrame, large: DataFrame, groups: int) -> DataFrame:
+    """(member, mask, fold): the large groups of each member as bits, an array of (word, bits) in order, and all its words in one; each group has one bit of a word."""
+    parts = max(1, -(-groups // NUMBERED))
+    numbered = large.select("group", F.pmod(F.xxhash64("group"), F.lit(parts)).cast("int").alias("part"))
+    at = F.row_number().over(Window.partitionBy("part").orderBy("group")) - 1
+    numbered = numbered.select("group", (at % 64).alias("bit"), (F.floor(at / 64).cast("int") * parts + F.col("part")).alias("word"))
     words = crowd.join(numbered, "group").groupBy("member", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
-    return words.groupBy("member").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("mask"))
+    return words.groupBy("member").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("mask"), F.bit_or("bits").alias("fold"))
 
 
 def _met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -153,9 +166,85 @@ def _met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"set": left_sets, "n": n.astype(np.int64)})
 
 
-def _united(sets: DataFrame) -> DataFrame:
-    """(set, n): how many members share a large group with each set of (set, mask, members), itself included; blocks of sets meet pair by pair."""
-    blocks = max(2, -(-sets.count() // BLOCK))
+def _split(x: np.ndarray, y: np.ndarray, may: np.ndarray) -> tuple[int, np.uint64]:
+    """Word and bit, of those in ``may``, that most pairs of a sample of both sides have."""
+    one, bits = np.uint64(1), np.arange(64, dtype=np.uint64)
+    best = (-1, 0, bits[0])
+    for w in np.flatnonzero(may).tolist():
+        shares = [((rows[:: max(1, len(rows) // 256), w, None] >> bits) & one).mean(axis=0) for rows in (x, y)]
+        both = np.where((may[w] >> bits) & one == one, shares[0] * shares[1], -1)
+        best = max(best, (both.max(), w, bits[both.argmax()]), key=lambda found: found[0])
+    return best[1], best[2]
+
+
+def _meetings(x: np.ndarray, y: np.ndarray, x_members: np.ndarray, y_members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many members of ``y`` share a bit with each row of ``x``, and the other way round.
+
+    Both sides are split by a group: pairs that both have it meet and are not looked at again, nor are those without a common group.
+    """
+    one = np.uint64(1)
+    n, m = np.zeros(len(x)), np.zeros(len(y))
+    waiting = [(np.arange(len(x)), np.arange(len(y)))]
+    while waiting:
+        i, j = waiting.pop()
+        a, b = x[i], y[j]
+        may = np.bitwise_or.reduce(a, axis=0) & np.bitwise_or.reduce(b, axis=0)
+        if not may.any():
+            continue
+        if (np.bitwise_and.reduce(a, axis=0) & np.bitwise_and.reduce(b, axis=0)).any():
+            n[i] += y_members[j].sum()
+            m[j] += x_members[i].sum()
+        elif len(i) * len(j) <= LEAF:
+            meet = np.zeros((len(i), len(j)), bool)
+            for w in np.flatnonzero(may).tolist():
+                meet |= (a[:, None, w] & b[None, :, w]) != 0
+            meet = meet.astype(np.float64)
+            n[i] += meet @ y_members[j]
+            m[j] += x_members[i] @ meet
+        else:
+            w, bit = _split(a, b, may)
+            own, other = (a[:, w] >> bit) & one == one, (b[:, w] >> bit) & one == one
+            n[i[own]] += y_members[j[other]].sum()
+            m[j[other]] += x_members[i[own]].sum()
+            waiting += [(p, q) for p, q in ((i[own], j[~other]), (i[~own], j[other]), (i[~own], j[~other])) if len(p) and len(q)]
+    return n, m
+
+
+def _met_split(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """(set, n) of the sets of both sides, each counted on the other one; of ``left`` only where both are the same block."""
+    sides = []
+    words, at = np.unique(np.concatenate([left["word"], right["word"]]), return_inverse=True)
+    for rows, place in ((left, at[: len(left)]), (right, at[len(left) :])):
+        sets, first, own = np.unique(rows["set"].to_numpy(), return_index=True, return_inverse=True)
+        bits = np.zeros((len(sets), len(words)), np.uint64)
+        bits[own, place] = rows["bits"].to_numpy().view(np.uint64)
+        sides.append((sets, bits, rows["members"].to_numpy()[first].astype(np.float64)))
+    (sets, x, x_members), (others, y, y_members) = sides
+    if not len(sets) or not len(others):
+        return pd.DataFrame({"set": np.zeros(0, np.int64), "n": np.zeros(0, np.int64)})
+    n, m = _meetings(x, y, x_members, y_members)
+    if left["i"].iloc[0] != left["j"].iloc[0]:
+        sets, n = np.concatenate([sets, others]), np.concatenate([n, m])
+    return pd.DataFrame({"set": sets, "n": n.astype(np.int64)})
+
+
+def _united(sets: DataFrame, words: int) -> DataFrame:
+    """(set, n): how many members share a large group with each set of (set, mask, members), itself included; blocks of sets meet pair by pair.
+
+    Sets of few words are put into blocks in the order of their bits, so that many pairs of blocks, or of their parts, meet as a whole.
+    """
+    total = sets.count()
+    if words <= WORDS:
+        blocks = max(1, -(-total // HELD))
+        # written, so that both sides of a pair see the same blocks
+        sets = written(sets.repartitionByRange(blocks, "mask").withColumn("own", F.spark_partition_id()), "blocks")
+        rows = sets.select("set", "members", "own", F.inline("mask"))
+        pairs = min(2000, blocks * (blocks + 1) // 2)
+        left = rows.withColumnRenamed("own", "i").withColumn("j", F.explode(F.sequence("i", F.lit(blocks - 1))))
+        right = rows.withColumnRenamed("own", "j").withColumn("i", F.explode(F.sequence(F.lit(0), "j")))
+        left, right = (side.repartition(pairs, "i", "j").groupBy("i", "j") for side in (left, right))
+        return left.cogroup(right).applyInPandas(lambda a, b: _met_split(a, b), "set long, n long").groupBy("set").agg(F.sum("n").alias("n"))
+    blocks = max(2, -(-total // BLOCK))
     rows = sets.select("set", "members", F.pmod(F.xxhash64("set"), F.lit(blocks)).cast("int").alias("own"), F.inline("mask"))
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = rows.withColumnRenamed("own", "i").withColumn("j", every).groupBy("i", "j")
@@ -172,16 +261,24 @@ def partner_counts(members: DataFrame, group: str, member: str, heavy: int = HEA
     Rows may repeat; those with a null group or member are left out.
     """
     rows = members.select(F.col(group).alias("group"), F.col(member).cast("long").alias("member")).where("group is not null and member is not null").distinct()
-    sizes = rows.groupBy("group").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > heavy).select("group")
-    masks = written(_masks(rows.join(large, "group", "left_semi"), large), "masks")
-    small = rows.join(sizes.where(F.col("n").between(2, heavy)), "group", "left_semi").join(masks, "member", "left").select("group", "member", "mask")
-    other = small.select("group", F.col("member").alias("other"), F.col("mask").alias("other_mask"))
-    shared = lambda a: F.exists("other_mask", lambda b: (a["word"] == b["word"]) & (a["bits"].bitwiseAND(b["bits"]) != 0))
-    light = small.join(other, "group").where((F.col("member") != F.col("other")) & ~F.coalesce(F.exists("mask", shared), F.lit(False)))
-    alone = light.select("member", "other").distinct().groupBy("member").agg(F.count("*").alias("n"))
+    rows = written(rows, "members")
+    large = written(rows.groupBy("group").agg(F.count("*").alias("n")).where(F.col("n") > heavy).select("group"), "large")
+    groups = large.count()
+    words = -(-groups // 64)
+    masks = written(_masks(rows.join(large, "group", "left_semi"), large, groups), "masks")
+    # a group of one has no pairs; where all large groups are bits of one word, its bits tell whether two members meet there
+    bits = masks.select("member", "fold", *(["mask"] if words > 1 else []))
+    small = rows.join(large, "group", "left_anti").join(bits, "member", "left").select("group", *bits.columns)
+    other = small.select("group", *(F.col(c).alias(f"other_{c}") for c in bits.columns))
+    meet = F.col("fold").bitwiseAND(F.col("other_fold")) != 0
+    if words > 1:
+        shared = lambda a: F.exists("other_mask", lambda b: (a["word"] == b["word"]) & (a["bits"].bitwiseAND(b["bits"]) != 0))
+        meet = meet & F.exists("mask", shared)
+    light = small.join(other, "group").where((F.col("member") < F.col("other_member")) & ~F.coalesce(meet, F.lit(False)))
+    light = light.select("member", "other_member").distinct()
+    alone = light.select(F.explode(F.array("member", "other_member")).alias("member")).groupBy("member").agg(F.count("*").alias("n"))
     sets = written(masks.groupBy("mask").agg(F.count("*").alias("members")).withColumn("set", F.monotonically_increasing_id()), "sets")
-    met = masks.join(sets.join(_united(sets), "set").select("mask", "n"), "mask").select("member", (F.col("n") - 1).alias("n"))
+    met = masks.join(sets.join(_united(sets, words), "set").select("mask", "n"), "mask").select("member", (F.col("n") - 1).alias("n"))
     return alone.unionByName(met).groupBy("member").agg(F.sum("n").alias("partners")).withColumnRenamed("member", member)
 
 

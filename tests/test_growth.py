@@ -3,6 +3,7 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,6 +57,36 @@ def test_partners_in_many_large_groups_by_blocks_of_sets(spark, monkeypatch):
     assert "bitmap" not in plan(got)[0]
 
 
+def test_counts_of_sets_that_meet_by_splitting(monkeypatch):
+    """Counts equal those of all pairs, with one word and several, dense and sparse."""
+    monkeypatch.setattr(search, "LEAF", 1 << 12)
+    rng = np.random.default_rng(4)
+    for words, share in ((1, 0.45), (3, 0.2), (8, 0.004)):
+        x, y = (np.packbits(rng.random((n, words, 64)) < share, axis=2).view(np.uint64).reshape(n, words) for n in (3000, 2000))
+        members = [rng.integers(1, 5, n).astype(float) for n in (3000, 2000)]
+        meet = ((x[:, None, :] & y[None, :, :]) != 0).any(axis=2)
+        n, m = search._meetings(x, y, *members)
+        assert (n == meet @ members[1]).all() and (m == members[0] @ meet).all()
+
+
+@pytest.mark.parametrize("groups", (40, 300, 900))
+def test_partners_by_blocks_in_the_order_of_bits(spark, monkeypatch, groups):
+    """One word, several words, and more than are split; blocks of few sets."""
+    monkeypatch.setattr(search, "HELD", 30)
+    monkeypatch.setattr(search, "LEAF", 50)
+    monkeypatch.setattr(search, "NUMBERED", 130)
+    rng = random.Random(groups)
+    rows = [(f"g{g}", m) for m in range(150) for g in rng.sample(range(groups), rng.choice((0, 1, 2, groups // 8)))] + [(f"s{rng.randrange(60)}", m) for m in range(150)]
+    of, want = {}, {}
+    for g, m in rows:
+        of.setdefault(g, set()).add(m)
+    for own in of.values():
+        for m in own:
+            want.setdefault(m, set()).update(own - {m})
+    got = search.partner_counts(spark.createDataFrame(rows, "g string, m long"), "g", "m", heavy=4)
+    assert {r.m: r.partners for r in got.collect()} == {m: len(x) for m, x in want.items() if x}
+
+
 def test_found_players_list_no_tournaments(spark):
     """What comes together for a name is its distinct units, however many tournaments it has."""
     rng = random.Random(5)
