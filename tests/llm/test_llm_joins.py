@@ -224,3 +224,25 @@ def _batch(points, found):
 
 def test_shingles_are_whole_short_texts():
     assert len(near_dedup.shingles(b"a b", 3)) == 1 and len(near_dedup.shingles(b"a b c d", 3)) == 2
+
+
+def test_scan_stops_where_no_rows_are_alike(monkeypatch):
+    """Runs of up to three alike labels: pairs are those of brute force, and no lag beyond a run is looked at."""
+    import pyarrow as pa
+
+    from rallyframe.llm.components import stars
+
+    calls = []
+    sized = near_dedup._sized
+    monkeypatch.setattr(near_dedup, "_sized", lambda *x: calls.append(1) or sized(*x))
+    rng = np.random.default_rng(2)
+    labels = [x for i in range(300) for x in [i.to_bytes(4, "big")] * int(rng.integers(1, 4))]
+    n = rng.integers(90, 110, len(labels))
+    binary = lambda rows: pa.array(rows, type=pa.binary())
+    rows = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(labels), np.int32)), binary(labels), pa.array(np.arange(len(labels))), pa.array(n), binary([b"s"] * len(labels))], names=["tree", "label", "rep", "n", "sketch"])
+    out = pa.Table.from_batches(near_dedup._scan(90, False, lambda a, b: np.ones(len(a), bool), 2)(iter([rows.slice(7)]))).to_pylist()
+    near = [(i, j) for i in range(7, len(labels)) for j in range(i + 1, min(i + 3, len(labels))) if labels[i] == labels[j] and 10 * min(n[i], n[j]) >= 9 * max(n[i], n[j])]
+    assert {(r["b"], r["a"]) for r in out} == set(stars(near)) and len(near) > 100
+    assert len(calls) <= 2
+    bytes_ = rng.integers(0, 256, (5, 3)).astype(np.uint8)
+    assert near_dedup.binaries(bytes_).to_pylist() == [x.tobytes() for x in bytes_] and (near_dedup._raw(near_dedup.binaries(bytes_).slice(2)) == bytes_[2:]).all()
