@@ -246,3 +246,34 @@ def test_scan_stops_where_no_rows_are_alike(monkeypatch):
     assert len(calls) <= 2
     bytes_ = rng.integers(0, 256, (5, 3)).astype(np.uint8)
     assert near_dedup.binaries(bytes_).to_pylist() == [x.tobytes() for x in bytes_] and (near_dedup._raw(near_dedup.binaries(bytes_).slice(2)) == bytes_[2:]).all()
+
+
+def test_members_with_few_to_be_told_are_not_ranked(monkeypatch):
+    """At an owner each member is told the better others, a fresh one among the two; ranked are only those with too many."""
+    import pyarrow as pa
+
+    from rallyframe.llm import neighbours
+
+    rng = np.random.default_rng(6)
+    m = rng.standard_normal((30, 8)).astype(np.float32)
+    least = np.full(30, 1.0, np.float32)
+    fresh = rng.random(30) < 0.5
+    row = lambda **given: {"part": 0, "kind": 0, "owner": None, "member": None, "members": None, "fresh": None, "least": None, "v": None} | given
+    rows = [row(member=i, least=float(least[i]), v=x.tobytes()) for i, x in enumerate(m)] + [row(kind=2, owner=3, members=list(range(30)), fresh=fresh.tolist())]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.float32(), pa.binary()]
+    batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(zip(rows[0], kinds))))
+    s = m @ m.T
+
+    def told(most):
+        monkeypatch.setattr(neighbours, "TOLD", most)
+        got = {r["node"]: set(r["ids"]) for b in neighbours._join(iter([batch])) for r in b.to_pylist()}
+        want = {i: sorted((j for j in range(30) if j != i and s[i, j] > least[i] and (fresh[i] or fresh[j])), key=lambda j: -s[i, j])[:most] for i in range(30)}
+        assert got == {i: set(x) for i, x in want.items() if x}
+
+    told(3)
+
+    def ranked(*_, **__):
+        raise AssertionError("ranked")
+
+    monkeypatch.setattr(np, "argpartition", ranked)
+    told(29)
